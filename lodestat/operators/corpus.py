@@ -106,9 +106,9 @@ def sparse_vectors(values: DataFrame, doc: str, value: str, size: int) -> DataFr
 
     to_sparse = F.udf(lambda p, v: SparseVector(size, p, v), VectorUDT())
     packed = values.groupBy(doc).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int"), F.col(value).cast("double").alias("v")))).alias("e")
+        F.sort_array(F.collect_list(F.struct(F.col("pos").cast("int").alias("p"), F.col(value).cast("double").alias("v")))).alias("e")
     )
-    return packed.select(doc, to_sparse(F.col("e.pos"), F.col("e.v")).alias("vector"))
+    return packed.select(doc, to_sparse(F.col("e.p"), F.col("e.v")).alias("vector"))
 
 
 def cooccurrence(documents: DataFrame, words: DataFrame, text: str = "text", size: int = 2_000) -> DataFrame:

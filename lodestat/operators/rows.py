@@ -104,12 +104,12 @@ def rank_within(df: DataFrame, by: str, order: Sequence[str | Column], name: str
     A group is a contiguous run of the global order (by, order), so its rows share out over as many
     tasks as the range partitioning gives, and the position is the distance to the group's first row.
     """
-    placed = with_row_id(df, [by, *order], "_row")
-    firsts = placed.groupBy(by).agg(F.min("_row").alias("_first"), F.count("*").alias(f"{name}_size"))
+    placed = with_row_id(df, [by, *order], "_at")
+    firsts = placed.groupBy(by).agg(F.min("_at").alias("_first"), F.count("*").alias(f"{name}_size"))
     return (
         placed.join(broadcast_if_small(firsts), by)
-        .withColumn(name, F.col("_row") - F.col("_first"))
-        .drop("_row", "_first")
+        .withColumn(name, F.col("_at") - F.col("_first"))
+        .drop("_at", "_first")
     )
 
 

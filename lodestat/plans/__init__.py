@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("text_queries", "table_queries")
+FAMILIES = ("text_queries", "table_queries", "model_queries", "learning_queries")
 
 
 def load_all() -> None:

@@ -38,14 +38,13 @@ def _long(c):
 
 @query(
     "src7_rows_to_table",
-    """SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
+    """SELECT meaning, count(*) AS n FROM lineitem JOIN (VALUES ('A', 'accepted'), ('N', 'none'), ('R', 'returned')) m(l_returnflag, meaning)
+USING (l_returnflag) GROUP BY meaning""",
 )
 def rows_to_table(spark, folder):
-    # a handful of rows held by the program (the five region names), joined to a stored table
-    held = [(r["r_regionkey"], r["r_name"]) for r in _t(spark, folder, "region").limit(100).collect()]
-    regions = rd.from_rows(spark, held, "r_regionkey int, r_name string")
-    nations = _t(spark, folder, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
-    return ag.value_counts(jo.merge(nations, regions, "r_regionkey"), "r_name")
+    held = [("A", "accepted"), ("N", "none"), ("R", "returned")]
+    meanings = rd.from_rows(spark, held, "l_returnflag string, meaning string")
+    return ag.value_counts(jo.lookup(_t(spark, folder, "lineitem"), meanings, "l_returnflag"), "meaning")
 
 
 @query("src8_vectors_of_length", "SELECT vec_id, label FROM embeddings WHERE len(embedding) = 64")

@@ -70,7 +70,7 @@ def main() -> int:
         try:
             problem = compare(spark, con, name, fn, sqls.get(name))
         except Exception as e:  # report and go on with the next query
-            problem = f"{type(e).__name__}: {str(e)[:600]}"
+            problem = f"{type(e).__name__}: {str(e)[:300].replace(chr(10), ' ')}"
         took = time.time() - start
         kind = "sql " if name in sqls else "rows"
         print(f"{'FAIL' if problem else 'ok  '} {kind} {took:6.2f}s {name} {problem}", flush=True)
