@@ -153,7 +153,7 @@ def repeated_holdout(
         for name, a in (("ols", 0.0), ("ridge", alpha)):
             fit = li.from_moments(train, xs, a)
             mse = _mse(fit, test)
-            rows.append((r, name, 1 - _mse(fit, train) / train.cov[0, 0], 1 - mse / test.cov[0, 0], mse))
+            rows.append((r, name, float(1 - _mse(fit, train) / train.cov[0, 0]), float(1 - mse / test.cov[0, 0]), mse))
     return df.sparkSession.createDataFrame(rows, "repeat int, model string, train_r2 double, test_r2 double, test_mse double")
 
 
