@@ -6,6 +6,8 @@ fold and sample below gives the same rows after a retry or a repartition.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,3 +31,11 @@ def hash_int(key: str | Column, seed: int) -> Column:
 def hash_unit(key: str | Column, seed: int) -> Column:
     """Uniform double in [0, 1)."""
     return hash_int(key, seed) / F.lit(float(UNIT_RANGE))
+
+
+def hash_below(key: str | Column, seed: int, frac: float) -> Column:
+    """``hash_unit(key, seed) < frac`` without turning the hash into a number: fixed-width hex text
+    sorts like the number it spells."""
+    if frac >= 1.0:
+        return F.lit(True)
+    return F.substring(hash_hex(key, seed), 1, 8) < F.lit(f"{math.ceil(frac * UNIT_RANGE):08x}")

@@ -55,12 +55,10 @@ def _dictionary_side(words: DataFrame, size: int | None) -> DataFrame:
     return broadcast_if_small(side)
 
 
-def bow(
-    tokens: DataFrame, words: DataFrame, doc: str = "doc_id", size: int | None = None, carry: tuple[str, ...] = ()
-) -> DataFrame:
+def bow(tokens: DataFrame, words: DataFrame, doc: str = "doc_id", size: int | None = None) -> DataFrame:
     """Bag of words (doc, pos, cnt). Documents without a dictionary word do not appear."""
     found = tokens.join(_dictionary_side(words, size), "word", "inner")
-    return found.groupBy(doc, *carry, "pos").agg(F.count("*").alias("cnt"))
+    return found.groupBy(doc, "pos").agg(F.count("*").alias("cnt"))
 
 
 def tf(counts: DataFrame, doc: str = "doc_id") -> DataFrame:

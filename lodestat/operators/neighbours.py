@@ -18,13 +18,14 @@ from lodestat.session import BROADCAST_ROWS, fits
 # last digits, and without this equal documents would be ranked by that noise.
 RANK_DIGITS = 9
 SALTS = 16
+QUERY_CELLS = 16_000_000  # largest query matrix a task may hold
 TEST_BLOCK = 1_024  # rows of the asking side per block
 TRAIN_BLOCK = 8_192  # rows of the answering side per block
 
 
 def similarity(
     queries: DataFrame, corpus: DataFrame, query: str, doc: str, value: str = "weight",
-    metric: str = "dot", carry: tuple[str, ...] = (),
+    metric: str = "dot",
 ) -> DataFrame:
     """Similarity of every query to every document that shares a word with it.
 
@@ -33,7 +34,7 @@ def similarity(
     join on the position with the corpus side salted, since a frequent word is a hot key.
     """
     q = queries.select(F.col(query), "pos", F.col("weight").alias("_q"))
-    c = corpus.select(F.col(doc), *carry, "pos", F.col(value).alias("_c"))
+    c = corpus.select(F.col(doc), "pos", F.col(value).alias("_c"))
     if metric == "cosine":
         q = _unit(q, query, "_q")
         c = _unit(c, doc, "_c")
@@ -45,7 +46,7 @@ def similarity(
         salted = c.withColumn("_salt", F.pmod(F.xxhash64(doc), F.lit(SALTS)))
         spread_q = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
         pairs = salted.join(spread_q, ["pos", "_salt"])
-    return pairs.groupBy(query, doc, *carry).agg(
+    return pairs.groupBy(query, doc).agg(
         F.round(F.sum(F.col("_q") * F.col("_c")), RANK_DIGITS).alias("similarity")
     )
 
@@ -62,6 +63,69 @@ def knn(similarities: DataFrame, query: str, doc: str, k: int) -> DataFrame:
     return top_k_per(similarities, query, [F.col("similarity").desc(), F.col(doc)], k)
 
 
+def nearest_documents(
+    queries: DataFrame, corpus: DataFrame, query: str, doc: str, k: int, value: str = "weight", metric: str = "dot"
+) -> DataFrame:
+    """The rows of ``knn(similarity(...))`` without building the (query, document) table.
+
+    The query batch becomes one bounded matrix that every task holds; a document is packed to one
+    record (its entries are bounded by the dictionary), scored against all queries at once, and a
+    task lets only its own k best documents per query out. Larger batches take the declarative way.
+    """
+    asked = queries.select(F.col(query).alias("q"), "pos", "weight").limit(BROADCAST_ROWS + 1).toArrow()
+    names = asked.column("q").unique()
+    places = np.unique(asked.column("pos").to_numpy())
+    if asked.num_rows > BROADCAST_ROWS or len(names) * max(len(places), 1) > QUERY_CELLS or metric not in ("dot", "cosine"):
+        return knn(similarity(queries, corpus, query, doc, value, metric), query, doc, k)
+    matrix = np.zeros((len(places), len(names)))
+    shared = np.zeros((len(places), len(names)), bool)
+    at = np.searchsorted(places, asked.column("pos").to_numpy()), asked.column("q").combine_chunks().dictionary_encode().indices.to_numpy()
+    matrix[at], shared[at] = asked.column("weight").to_numpy(), True
+    if metric == "cosine":
+        lengths = np.sqrt((matrix * matrix).sum(0))
+        matrix = matrix / np.where(lengths > 0, lengths, 1.0)
+    packed = (
+        corpus.groupBy(F.col(doc).alias("d"))
+        .agg(F.collect_list(F.struct(F.col("pos").alias("p"), F.col(value).cast("double").alias("v"))).alias("e"))
+        .select("d", F.col("e.p").alias("p"), F.col("e.v").alias("v"))
+    )
+
+    def scan(batches):
+        best_s, best_d = np.zeros((len(names), 0)), np.zeros((len(names), 0), dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows == 0 or len(places) == 0:
+                continue
+            flat = batch.column("p").flatten().to_numpy(zero_copy_only=False)
+            weights = batch.column("v").flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(batch.column("p").value_lengths().to_numpy(zero_copy_only=False))
+            slots = np.minimum(np.searchsorted(places, flat), len(places) - 1)
+            known = places[slots] == flat
+            scores = np.full((len(names), batch.num_rows), -np.inf)
+            begin = 0
+            for r, end in enumerate(ends):
+                mine, w = slots[begin:end][known[begin:end]], weights[begin:end]
+                if len(mine):
+                    found = w[known[begin:end]] @ matrix[mine]
+                    if metric == "cosine":
+                        found = found / (np.sqrt((w * w).sum()) or 1.0)
+                    scores[:, r] = np.where(shared[mine].any(0), np.round(found, RANK_DIGITS), -np.inf)
+                begin = end
+            ids = batch.column("d").to_numpy(zero_copy_only=False)
+            best_s = np.hstack([best_s, scores])
+            best_d = np.hstack([best_d, np.broadcast_to(ids, scores.shape)])
+            order = np.lexsort((best_d, -best_s), axis=1)[:, :k]
+            best_s, best_d = np.take_along_axis(best_s, order, 1), np.take_along_axis(best_d, order, 1)
+        rows, cols = np.nonzero(np.isfinite(best_s))
+        yield pa.RecordBatch.from_arrays(
+            [names.take(pa.array(rows)), pa.array(best_d[rows, cols]), pa.array(best_s[rows, cols])],
+            names=[query, doc, "similarity"],
+        )
+
+    kinds = queries.schema[query].dataType.simpleString()
+    found = packed.mapInArrow(scan, f"{query} {kinds}, {doc} bigint, similarity double")
+    return top_k_per(found, query, [F.col("similarity").desc(), F.col(doc)], k)
+
+
 def vote(neighbours: DataFrame, query: str, label: str) -> DataFrame:
     """Most frequent label among the neighbours with its number of votes, ties by label."""
     counts = neighbours.groupBy(query, label).agg(F.count("*").alias("votes"))
@@ -69,8 +133,11 @@ def vote(neighbours: DataFrame, query: str, label: str) -> DataFrame:
     return won.select(query, F.col(f"b.{label}").alias(label), (-F.col("b.neg")).alias("votes"))
 
 
-def knn_vote(similarities: DataFrame, query: str, doc: str, label: str, k: int) -> DataFrame:
-    return vote(knn(similarities, query, doc, k), query, label)
+def knn_vote(similarities: DataFrame, labels: DataFrame, query: str, doc: str, label: str, k: int) -> DataFrame:
+    """Vote of the k nearest documents; ``labels`` has one row (doc, label) per document and is only
+    joined to the neighbours."""
+    near = knn(similarities, query, doc, k).select(query, doc)
+    return vote(labels.select(doc, label).join(near, doc), query, label)
 
 
 # --- dense vectors -----------------------------------------------------------------------------

@@ -95,12 +95,12 @@ def poly(df: DataFrame, columns: Sequence[str], degree: int, bias: bool = False)
 
 
 def with_split(df: DataFrame, key: str, test_frac: float, seed: int, name: str = "is_test") -> DataFrame:
-    return df.withColumn(name, hs.hash_unit(key, seed) < test_frac)
+    return df.withColumn(name, hs.hash_below(key, seed, test_frac))
 
 
 def split(df: DataFrame, key: str, test_frac: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """(train, test); no shuffle, each row decides for itself."""
-    test, train = split_where(df, hs.hash_unit(key, seed) < test_frac)
+    test, train = split_where(df, hs.hash_below(key, seed, test_frac))
     return train, test
 
 

@@ -33,7 +33,7 @@ def gaussian_matrix(positions: np.ndarray, dim: int, seed: int) -> np.ndarray:
 
 
 def random_projection(
-    values: DataFrame, doc: str, value: str, dim: int, seed: int, family: str = "gaussian", carry: tuple[str, ...] = ()
+    values: DataFrame, doc: str, value: str, dim: int, seed: int, family: str = "gaussian"
 ) -> DataFrame:
     """(doc, pos, value) rows to one dense vector of length ``dim`` per document.
 
@@ -42,7 +42,7 @@ def random_projection(
     """
     if family not in FAMILIES:
         raise ValueError(f"unknown family {family}")
-    keys = [doc, *carry]
+    keys = [doc]
     packed = values.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col("pos").cast("long").alias("p"), F.col(value).cast("double").alias("v")))).alias("e")
     ).select(*keys, F.col("e.p").alias("_p"), F.col("e.v").alias("_v"))
@@ -88,13 +88,16 @@ class TopicFit:
 
 
 def topic_regression(
-    values: DataFrame, doc: str, value: str, label: str, positive: list[str], dim: int, seed: int, family: str = "gaussian"
+    values: DataFrame, doc: str, value: str, labels: DataFrame, label: str, positive: list[str], dim: int, seed: int,
+    family: str = "gaussian",
 ) -> TopicFit:
     """Least squares on projected vectors against +1/-1 targets, without intercept: one Gram pass
-    over [target, vector], one small solve (pseudo-inverse when the Gram matrix is singular)."""
-    vectors = random_projection(values, doc, value, dim, seed, family, carry=(label,))
-    joined = F.concat(F.array(co.target(F.col(label), positive)), F.col("vector"))
-    (g,) = gram_matrices(vectors, joined).values()
+    over [target, vector], one small solve (pseudo-inverse when the Gram matrix is singular).
+    ``labels`` has one row (doc, label) per document."""
+    vectors = random_projection(values, doc, value, dim, seed, family)
+    targets = labels.select(doc, co.target(F.col(label), positive).alias("_target"))
+    joined = vectors.join(targets, doc)
+    (g,) = gram_matrices(joined, F.concat(F.array("_target"), F.col("vector"))).values()
     return TopicFit(np.linalg.pinv(g[1:, 1:], hermitian=True) @ g[1:, 0], dim, seed, family)
 
 

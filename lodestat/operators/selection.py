@@ -142,8 +142,8 @@ def repeated_holdout(
     test moments of those repeats that drew it; the training moments follow by subtraction.
     """
     whole = column_moments(df, [y, *xs])
-    drawn = F.filter(
-        F.array(*[F.when(hs.hash_unit(key, seed + r) < test_frac, F.lit(r)) for r in range(repeats)]), lambda r: r.isNotNull()
+    drawn = F.array_compact(
+        F.array(*[F.when(hs.hash_below(key, seed + r, test_frac), F.lit(r)) for r in range(repeats)])
     )
     per = column_moments_by(df.select(y, *xs, F.explode(drawn).alias("_r")), [y, *xs], "_r")
     rows = []

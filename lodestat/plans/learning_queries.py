@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -148,7 +152,7 @@ w AS (SELECT (bb * ya - ab * yb) / (aa * bb - ab * ab) AS w0, (aa * yb - ab * ya
 )
 def topic_regression(spark, folder):
     _, _, values = _tfidf(spark, folder)
-    fit = rp.topic_regression(values, "doc_id", "weight", "source", [TOPIC], 2, RP_SEED, "sign")
+    fit = rp.topic_regression(values, "doc_id", "weight", _t(spark, folder, "documents"), "source", [TOPIC], 2, RP_SEED, "sign")
     rows = [(i, float(w)) for i, w in enumerate(fit.weights)]
     return _rounded(spark.createDataFrame(rows, "pos int, weight double"), 4)
 
@@ -160,7 +164,7 @@ SELECT item_id, round(a * w0 + b * w1, 4) AS score, CASE WHEN a * w0 + b * w1 >
 )
 def predict_topic(spark, folder):
     words, weights, values = _tfidf(spark, folder)
-    fit = rp.topic_regression(values, "doc_id", "weight", "source", [TOPIC], 2, RP_SEED, "sign")
+    fit = rp.topic_regression(values, "doc_id", "weight", _t(spark, folder, "documents"), "source", [TOPIC], 2, RP_SEED, "sign")
     asked = co.vectorize_query(_bench_items(spark, folder), words, weights, "item_id", "text", WORDS)
     out = rp.predict_topic(asked, fit, "item_id", "about the topic", "not about the topic")
     return out.withColumn("score", F.round("score", 4) + 0.0)
@@ -169,7 +173,7 @@ def predict_topic(spark, folder):
 @query("rpj3_predict_language_gaussian")
 def predict_language(spark, folder):
     words, weights, values = _tfidf(spark, folder)
-    fit = rp.topic_regression(values, "doc_id", "weight", "lang", ["en"], 128, RP_SEED)
+    fit = rp.topic_regression(values, "doc_id", "weight", _t(spark, folder, "documents"), "lang", ["en"], 128, RP_SEED)
     asked = co.vectorize_query(_bench_items(spark, folder), words, weights, "item_id", "text", WORDS)
     return rp.predict_topic(asked, fit, "item_id", "English", "not English")
 
@@ -179,9 +183,9 @@ def predict_language(spark, folder):
 _LP = "lp AS (SELECT l_orderkey, l_extendedprice / 1000 AS y, l_quantity AS x1, l_discount * 100 AS x2, l_tax * 100 AS x3 FROM lineitem)"
 
 
-def _priced(spark, folder):
+def _priced(spark, folder, spread=False):
     c = F.col
-    return _t(spark, folder, "lineitem").select(
+    return rd.read_dataset(spark, folder, "lineitem", spread_by="l_orderkey" if spread else None).select(
         "l_orderkey", "l_partkey", "l_linenumber", (c("l_extendedprice") / 1000).alias("y"), c("l_quantity").alias("x1"),
         (c("l_discount") * 100).alias("x2"), (c("l_tax") * 100).alias("x3"),
     )
@@ -316,7 +320,7 @@ def _assembled(df, *names):
 
 @query("reg11_forest_regression")
 def forest_regression(spark, folder):
-    data = _assembled(_priced(spark, folder), "x1", "x2", "x3")
+    data = _assembled(_priced(spark, folder, spread=True), "x1", "x2", "x3")
     train, test = pr.split(data, "l_orderkey", 0.2, SEED)
     model = ke.rf_regress(train, "y", "features", trees=20, depth=5, seed=SEED)
     return _rounded(me.reg_metrics(model.transform(test), "y"), 3)
@@ -325,7 +329,7 @@ def forest_regression(spark, folder):
 def _kernel_rows(spark, folder):
     """Unit-scaled inputs for the RBF models."""
     scaled = F.array(F.col("x1") / 50, F.col("x2") / 10, F.col("x3") / 8)
-    return _priced(spark, folder).withColumn("v", scaled)
+    return _priced(spark, folder, spread=True).withColumn("v", scaled)
 
 
 @query("reg13_rbf_ridge")
@@ -540,7 +544,7 @@ _LF = f"lf AS (SELECT l_extendedprice / 1000 AS y, l_quantity AS x, {_FOLD} AS f
 
 
 def _folded(spark, folder):
-    return pr.quick_folds(_priced(spark, folder), "l_orderkey", 5, SEED)
+    return pr.quick_folds(_priced(spark, folder, spread=True), "l_orderkey", 5, SEED)
 
 
 @query(
@@ -597,7 +601,7 @@ e AS (SELECT r, model, avg((y - my - b * (x - mx)) ** 2) FILTER (t) AS test_mse,
 SELECT CAST(r AS INT) AS repeat, model, round(1 - train_mse / nv, 6) AS train_r2, round(1 - test_mse / tv, 6) AS test_r2, round(test_mse, 4) AS test_mse FROM e""",
 )
 def repeated_holdout(spark, folder):
-    h = se.repeated_holdout(_priced(spark, folder), "y", ["x1"], "l_orderkey", 10, 0.2, 50_000.0)
+    h = se.repeated_holdout(_priced(spark, folder, spread=True), "y", ["x1"], "l_orderkey", 10, 0.2, 50_000.0)
     return h.select("repeat", "model", F.round("train_r2", 6).alias("train_r2"), F.round("test_r2", 6).alias("test_r2"), F.round("test_mse", 4).alias("test_mse"))
 
 
@@ -640,8 +644,6 @@ a AS (SELECT vec_id, cluster, distance FROM (SELECT *, row_number() OVER (PARTIT
 
 
 def _label_centres(e):
-    import numpy as np
-
     return np.array(list(cu.centres_by(e, "v", "label").values()))
 
 
@@ -785,9 +787,6 @@ def components_of_two_sets(spark, folder):
 
 @query("udf1_function_per_record", "SELECT item_id, CAST(length(text) - length(replace(text, 'e', '')) AS BIGINT) AS n_e FROM benchmark")
 def function_per_record(spark, folder):
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
     @F.arrow_udf("bigint")
     def count_e(t: pa.Array) -> pa.Array:
         return pc.count_substring(t, "e").cast(pa.int64())
@@ -798,8 +797,6 @@ def function_per_record(spark, folder):
 @query("udf3_fold", "SELECT event_type, round(sum(value), 2) AS total, count(*) AS n FROM events GROUP BY event_type")
 def fold(spark, folder):
     """A user fold with zero, per-row step and combine: partial results per task, then one sum."""
-    import pandas as pd
-
     def partial(frames):
         zero = pd.DataFrame({"total": [], "n": []})
         for f in frames:
@@ -824,8 +821,6 @@ def table_transform(spark, folder):
 
 @query("udf5_closure_value", "SELECT c_custkey, round(c_acctbal * 1.25, 4) AS raised FROM customer")
 def closure_value(spark, folder):
-    import pandas as pd
-
     factor = 1.25  # captured when the job is built
 
     @F.pandas_udf("double")

@@ -12,6 +12,7 @@ from lodestat.operators import neighbours as nn
 from lodestat.operators import windows as wi
 from lodestat.plans import sqltext as q
 from lodestat.plans.registry import query
+from lodestat.session import broadcast_if_small, cut_lineage
 from lodestat.sources import readers as rd
 
 WORDS = 20_000  # dictionary size of the text family
@@ -28,14 +29,15 @@ def _tokens(spark, folder):
 
 
 def _bow(spark, folder):
-    tokens = _tokens(spark, folder)
-    words = co.dictionary(tokens, WORDS)
-    return words, co.bow(tokens, words, size=WORDS, carry=("lang", "source"))
+    tokens = co.tokenize(_docs(spark, folder))
+    # written once: the dictionary is used by every step behind it
+    words = cut_lineage(co.dictionary(tokens, WORDS))
+    return words, co.bow(tokens, words, size=WORDS)
 
 
 def _tfidf(spark, folder):
     words, counts = _bow(spark, folder)
-    weights = co.idf(counts, _docs(spark, folder))
+    weights = cut_lineage(co.idf(counts, _docs(spark, folder)))
     return words, weights, co.tfidf(co.tf(counts), weights, WORDS)
 
 
@@ -185,22 +187,37 @@ def vectorize_query(spark, folder):
 # --- neighbours --------------------------------------------------------------------------------
 
 
-def _similarities(spark, folder, metric="dot", scheme="tfidf"):
+def _vectors(spark, folder, scheme="tfidf"):
+    """(query vectors, document vectors) under one weighting."""
     items = _bench_items(spark, folder)
     if scheme == "tfidf":
         words, weights, docs = _tfidf(spark, folder)
-        asked = co.vectorize_query(items, words, weights, "item_id", "text", WORDS)
-    else:
-        words, counts = _bow(spark, folder)
-        if scheme == "tf":
-            docs = co.tf(counts).withColumn("weight", F.col("tf"))
-            asked = co.vectorize_query(items, words, None, "item_id", "text", WORDS)
-        else:
-            docs = counts.withColumn("weight", F.col("cnt").cast("double"))
-            asked = co.bow(co.tokenize(items, "item_id"), words, "item_id", WORDS).select(
-                "item_id", "pos", F.col("cnt").cast("double").alias("weight")
-            )
-    return nn.similarity(asked, docs, "item_id", "doc_id", metric=metric, carry=("lang", "source"))
+        return co.vectorize_query(items, words, weights, "item_id", "text", WORDS), docs
+    words, counts = _bow(spark, folder)
+    if scheme == "tf":
+        return co.vectorize_query(items, words, None, "item_id", "text", WORDS), co.tf(counts).withColumn("weight", F.col("tf"))
+    asked = co.bow(co.tokenize(items, "item_id"), words, "item_id", WORDS)
+    weight = F.col("cnt").cast("double")
+    return asked.select("item_id", "pos", weight.alias("weight")), counts.withColumn("weight", weight)
+
+
+def _similarities(spark, folder, metric="dot", scheme="tfidf"):
+    return nn.similarity(*_vectors(spark, folder, scheme), "item_id", "doc_id", metric=metric)
+
+
+def _nearest(spark, folder, metric="dot", scheme="tfidf"):
+    return nn.nearest_documents(*_vectors(spark, folder, scheme), "item_id", "doc_id", K, metric=metric)
+
+
+def _labelled(near, spark, folder, label):
+    """Labels are looked up for the k neighbours only; no label travels through the vector steps."""
+    labels = rd.read_dataset(spark, folder, "documents").select("doc_id", label)
+    return labels.join(broadcast_if_small(near.select("item_id", "doc_id")), "doc_id")
+
+
+def _vote(spark, folder, label, **how):
+    near = _nearest(spark, folder, **how)
+    return nn.vote(_labelled(cut_lineage(near), spark, folder, label), "item_id", label)
 
 
 _SIM = """sim AS (SELECT item_id, doc_id, lang, source, round(sum(q.weight * d.weight), 9) AS similarity
@@ -236,18 +253,18 @@ def similarity_cosine(spark, folder):
     f"{_HEAD},\n{_SIM},\n{_NEAR} SELECT item_id, doc_id, similarity, rank FROM near",
 )
 def nearest_documents(spark, folder):
-    near = nn.knn(_similarities(spark, folder), "item_id", "doc_id", K)
+    near = _nearest(spark, folder)
     return near.select("item_id", "doc_id", "similarity", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query("knn3_vote_language_tfidf", f"{_HEAD},\n{_SIM},\n{_NEAR},\n{_vote_sql('lang')}")
 def vote_language(spark, folder):
-    return nn.knn_vote(_similarities(spark, folder), "item_id", "doc_id", "lang", K)
+    return _vote(spark, folder, "lang")
 
 
 @query("knn3_vote_source_cosine", f"{_HEAD},\n{_COS},\n{_NEAR},\n{_vote_sql('source')}")
 def vote_source(spark, folder):
-    return nn.knn_vote(_similarities(spark, folder, "cosine"), "item_id", "doc_id", "source", K)
+    return _vote(spark, folder, "source", metric="cosine")
 
 
 _PLAIN = q.corpus_ctes(WORDS, "tf") + ",\n" + q.query_ctes(False)
@@ -259,7 +276,7 @@ _PLAIN = q.corpus_ctes(WORDS, "tf") + ",\n" + q.query_ctes(False)
   FROM qtf q JOIN tf d USING (pos) GROUP BY ALL),\n{_NEAR},\n{_vote_sql('lang')}""",
 )
 def vote_language_tf(spark, folder):
-    return nn.knn_vote(_similarities(spark, folder, scheme="tf"), "item_id", "doc_id", "lang", K)
+    return _vote(spark, folder, "lang", scheme="tf")
 
 
 @query(
@@ -268,7 +285,7 @@ def vote_language_tf(spark, folder):
   FROM qbow q JOIN bow d USING (pos) GROUP BY ALL),\n{_NEAR},\n{_vote_sql('lang')}""",
 )
 def vote_language_counts(spark, folder):
-    return nn.knn_vote(_similarities(spark, folder, scheme="counts"), "item_id", "doc_id", "lang", K)
+    return _vote(spark, folder, "lang", scheme="counts")
 
 
 @query(
@@ -276,8 +293,8 @@ def vote_language_counts(spark, folder):
     f"{_HEAD},\n{_SIM},\n{_NEAR} SELECT item_id, source, count(*) AS n FROM near GROUP BY ALL",
 )
 def vote_counts(spark, folder):
-    near = nn.knn(_similarities(spark, folder), "item_id", "doc_id", K)
-    return ag.value_counts(near, "item_id", "source")
+    near = cut_lineage(_nearest(spark, folder))
+    return ag.value_counts(_labelled(near, spark, folder, "source"), "item_id", "source")
 
 
 # --- co-occurrence and the count cube ----------------------------------------------------------
@@ -291,7 +308,8 @@ SELECT a.pos AS pos_a, b.pos AS pos_b, count(*) AS docs FROM pres a JOIN pres b
 )
 def cooccurrence(spark, folder):
     docs = _docs(spark, folder)
-    return co.cooccurrence(docs, co.dictionary(co.tokenize(docs), PAIR_WORDS), size=PAIR_WORDS)
+    words = cut_lineage(co.dictionary(co.tokenize(docs), PAIR_WORDS))
+    return co.cooccurrence(docs, words, size=PAIR_WORDS)
 
 
 @query(
@@ -302,7 +320,7 @@ SELECT a.word AS word_a, b.word AS word_b, count(*) AS docs FROM pres a JOIN pre
 )
 def word_pairs(spark, folder):
     docs = _docs(spark, folder)
-    words = co.dictionary(co.tokenize(docs), PAIR_WORDS)
+    words = cut_lineage(co.dictionary(co.tokenize(docs), PAIR_WORDS))
     names = F.broadcast(words.select("pos", "word"))
     return (
         co.cooccurrence(docs, words, size=PAIR_WORDS)
