@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestat.functions import text as tx
 from lodestat.session import BROADCAST_ROWS, broadcast_if_small
 
-COOCCURRENCE_WORDS = 8_192  # a task holds one words x words block of counts
+TILE = 2_048  # a co-occurrence task holds one TILE x TILE matrix of counts
 
 
 def tokenize(df: DataFrame, doc: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -114,36 +114,51 @@ def cooccurrence(documents: DataFrame, words: DataFrame, text: str = "text", siz
     document frequency. Output (pos_a, pos_b, docs) with pos_a <= pos_b and docs > 0.
 
     No pair is ever built per document. Each task turns its documents into a 0/1 block over the
-    bounded dictionary and adds up block' * block; only the non-zero cells of that one bounded
-    matrix leave the task, already summed.
+    dictionary and adds up block' * block; only the non-zero cells of that bounded matrix leave the
+    task, already summed. A dictionary wider than one tile is done tile by tile.
     """
-    if size > COOCCURRENCE_WORDS:
-        raise ValueError(f"at most {COOCCURRENCE_WORDS} words; choose a smaller dictionary")
+    if size > BROADCAST_ROWS:
+        raise ValueError(f"a dictionary of at most {BROADCAST_ROWS} words is held by every task")
     listed = [r["word"] for r in words.filter(F.col("pos") < size).select("pos", "word").orderBy("pos").collect()]
+    cells = documents.filter(F.col(text).isNotNull()).select(tx.clean_words(F.col(text)).alias("tokens"))
+    starts = range(0, max(len(listed), 1), TILE)
+    tiles = [
+        cells.mapInArrow(_tile_counts(listed, a, b), "pos_a bigint, pos_b bigint, docs bigint")
+        for a in starts for b in starts if a <= b
+    ]
+    sums = tiles[0]
+    for t in tiles[1:]:
+        sums = sums.unionByName(t)
+    return sums.groupBy("pos_a", "pos_b").agg(F.sum("docs").alias("docs"))
+
+
+def _tile_counts(listed: list[str], first: int, second: int):
+    """Task function that counts the pairs (a, b) with a in one tile and b in another or the same."""
+    sides = [listed[first : first + TILE]] + ([listed[second : second + TILE]] if second != first else [])
+
+    def presence(batch, known: list[str]) -> np.ndarray:
+        tokens = batch.column(0)
+        rows = np.repeat(np.arange(len(tokens)), pc.list_value_length(tokens).to_numpy(zero_copy_only=False))
+        at = pc.fill_null(pc.index_in(tokens.flatten(), value_set=pa.array(known, pa.string())), -1)
+        at = at.to_numpy(zero_copy_only=False)
+        block = np.zeros((len(tokens), len(known)), np.float32)
+        block[rows[at >= 0], at[at >= 0]] = 1.0
+        return block
 
     def partial(batches):
-        vocabulary = pa.array(listed, pa.string())
-        acc = np.zeros((len(listed), len(listed)))
+        acc = np.zeros((len(sides[0]), len(sides[-1])))
         for batch in batches:
-            tokens = batch.column(0)
-            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(len(tokens)), lengths)
-            at = pc.index_in(tokens.flatten(), value_set=vocabulary).to_numpy(zero_copy_only=False)
-            known = ~np.isnan(at) if at.dtype.kind == "f" else np.ones(len(at), bool)
-            block = np.zeros((len(tokens), len(listed)), np.float32)
-            block[rows[known], at[known].astype(np.int64)] = 1.0
-            block = block[block.any(axis=1)]
-            acc += block.T @ block
-        a, b = np.nonzero(np.triu(acc))
+            blocks = [presence(batch, side) for side in sides]
+            acc += blocks[0].T @ blocks[-1]
+        a, b = np.nonzero(np.triu(acc) if len(sides) == 1 else acc)
         for s in range(0, len(a), 65_536):
             i, j = a[s : s + 65_536], b[s : s + 65_536]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(i), pa.array(j), pa.array(acc[i, j].astype(np.int64))], names=["pos_a", "pos_b", "docs"]
+                [pa.array(i + first), pa.array(j + second), pa.array(acc[i, j].astype(np.int64))],
+                names=["pos_a", "pos_b", "docs"],
             )
 
-    cells = documents.filter(F.col(text).isNotNull()).select(tx.clean_words(F.col(text)).alias("tokens"))
-    sums = cells.mapInArrow(partial, "pos_a bigint, pos_b bigint, docs bigint")
-    return sums.groupBy("pos_a", "pos_b").agg(F.sum("docs").alias("docs"))
+    return partial
 
 
 def target(labels: Column, positive: list[str]) -> Column:
