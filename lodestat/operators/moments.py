@@ -20,6 +20,7 @@ from lodestat.functions.blocks import as_lists, as_matrix
 
 MAX_FEATURES = 4_096
 MAX_GROUPS = 1_024
+MAX_ROWS = 81_920  # matrix rows, over all groups, that may come to the driver
 TASK_CELLS = 16_000_000  # doubles a task may hold before it hands its partial sums on
 
 
@@ -84,19 +85,15 @@ class Moments:
 
 def gram_matrices(df: DataFrame, vec: str | Column, by: str | None = None) -> dict[str, np.ndarray]:
     """Gram matrices on the driver, one per group; features and groups are bounded and checked."""
-    rows = gram_rows(df, vec, by).limit(MAX_FEATURES * 4 + MAX_GROUPS * 64 + 1).collect()
+    rows = gram_rows(df, vec, by).limit(MAX_ROWS + 1).collect()
+    if len(rows) > MAX_ROWS:
+        raise ValueError(f"more than {MAX_ROWS} matrix rows over all groups")
     found: dict[str, dict[int, list[float]]] = {}
     for r in rows:
         found.setdefault(r["grp"], {})[r["i"]] = r["row"]
     if len(found) > MAX_GROUPS or any(len(m) > MAX_FEATURES for m in found.values()):
         raise ValueError(f"more than {MAX_FEATURES} features or {MAX_GROUPS} groups")
-    out = {}
-    for g, m in found.items():
-        d = len(next(iter(m.values())))
-        if len(m) != d:
-            raise ValueError(f"more than {MAX_FEATURES} features or {MAX_GROUPS} groups")
-        out[g] = np.array([m[i] for i in range(d)])
-    return out
+    return {g: np.array([m[i] for i in range(len(m))]) for g, m in found.items()}
 
 
 def _with_one(vec: Column, *more: Column) -> Column:
