@@ -23,7 +23,9 @@ from lodestat.llm.batches import slabs
 from lodestat.llm.shared import new_folder
 
 CACHE = "version string, digest string, n_tokens bigint"
-MEMO_WORDS = 200_000  # words whose counts a task remembers; only speed depends on it
+MEMO_WORDS = 600_000  # word counts that a worker remembers; only speed depends on it
+
+_memo: dict[str, dict[str, int]] = {}
 
 
 @lru_cache(maxsize=2)
@@ -39,22 +41,37 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+def _parts(word: str) -> tuple[str, str]:
+    """A word and the full stops and commas behind its last ASCII letter or digit.
+
+    The tokenizer always cuts between a letter or digit and such a sign, and it lowers A-Z itself; special strings hold "<".
+    """
+    core = word.rstrip(".,")
+    tail = word[len(core) :]
+    if tail and not (core and core[-1].isascii() and core[-1].isalnum()):
+        core, tail = word, ""
+    return (core.lower() if core.isascii() and "<" not in core else core), tail
+
+
 def _encode(path: str):
     """Task function: counts of whole texts. A text's count is the sum over its words, so a word is encoded once."""
 
     def run(batches):
-        tokenizer, memo = _tokenizer(path), {}
+        tokenizer = _tokenizer(path)
+        memo = _memo.setdefault(path, {"": 0})
         for slab in slabs(batches, "content"):
             split = pc.ascii_split_whitespace(slab.column("content"))
             coded = split.flatten().dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            fresh = [w for w in words if w not in memo]
+            words = [_parts(w) for w in coded.dictionary.to_pylist()]
+            fresh = list({p for pair in words for p in pair if p not in memo})
             if len(memo) + len(fresh) > MEMO_WORDS:
-                memo, fresh = {}, words
+                memo.clear()
+                memo[""] = 0
+                fresh = list({p for pair in words for p in pair if p})
             for i in range(0, len(fresh), 4096):
                 part = fresh[i : i + 4096]
                 memo.update(zip(part, map(len, tokenizer.encode_batch_fast(part, add_special_tokens=False))))
-            each = np.fromiter((memo[w] for w in words), np.int64, len(words))[coded.indices.to_numpy()]
+            each = np.fromiter((memo[core] + memo[tail] for core, tail in words), np.int64, len(words))[coded.indices.to_numpy()]
             ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
             sums = np.concatenate([[0], np.cumsum(each)])
             counts = sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
