@@ -7,8 +7,8 @@ p = s ** 2, that is under 7e-6 at 0.85 and under 3e-8 at 0.9, and a group usuall
 
 Documents with equal sets are one class from the start. In each bucket the class that meets most others is the pivot; each
 class is first compared with its best pivot, then with its other pivots while they are in another component, and at last
-all members of a bucket that still lie in different components are compared. So large groups of copies are joined by
-about one comparison a member, and no link between candidates is left out.
+the members of buckets that still hold several components are compared where a prefix filter, which loses nothing, lets two
+of them meet. So large groups of copies are joined by about one comparison a member, and no link is left out.
 """
 
 from __future__ import annotations
@@ -93,6 +93,34 @@ def _may_link(a: str, b: str) -> F.Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _prefix_pairs(rows: DataFrame) -> DataFrame:
+    """(rep, component, set) to the pairs rep > pivot from different components that may be similar enough; none that is
+    gets lost, and copies that each differ from all others in too many shingles of their own meet nobody.
+
+    Shingles are put in one order, the rarest first. Of two similar sets the larger one has a shingle in common with the
+    smaller one among its first n - ceil(t n) + 1, and that is among the smaller one's first n - ceil(2 t n / (1 + t)) + 1
+    (prefix filter with a shorter prefix for the index side).
+    """
+    cells = rows.select("rep", F.explode("set").alias("shingle"))
+    counts = cells.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1")
+    # a shingle of one set only comes first in the order, but meets nothing: only its number matters
+    ordered = (
+        cells.join(counts, "shingle").groupBy("rep")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("order"))
+        .join(rows.select("rep", "component", F.size("set").alias("n")), "rep")
+        .withColumn("alone", F.col("n") - F.size("order"))
+    )
+    probe = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    index = F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1
+    head = lambda size: F.explode(F.slice("order", F.lit(1), F.greatest(size - F.col("alone"), F.lit(0)).cast("int"))).alias("s")
+    large = ordered.select("rep", "component", "n", head(probe)).select("s.shingle", "rep", "component", "n")
+    small = ordered.select(F.col("rep").alias("r2"), F.col("component").alias("c2"), F.col("n").alias("n2"), head(index)).select("s.shingle", "r2", "c2", "n2")
+    met = large.join(small, "shingle").filter(
+        (F.col("component") != F.col("c2")) & ((F.col("n") > F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("rep") > F.col("r2")))) & _may_link("n", "n2")
+    )
+    return met.select(F.greatest("rep", "r2").alias("rep"), F.least("rep", "r2").alias("pivot")).distinct()
+
+
 def groups(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, key, n_shingles, component): component is the smallest id that verified links reach.
 
@@ -161,16 +189,12 @@ def groups(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
     if more.limit(1).count():
         links = links.unionByName(more)
         found = written(components(links), "components")
-    # buckets that still hold several components: every two members from different ones, but no pair twice
-    placed = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    # classes in buckets that still hold several components: pairs by prefix filter, as their buckets may be very large
+    placed = members.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
-    left = written(placed.join(mixed, "bucket"), "leftover")
-    right = left.select("bucket", F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"), F.col("component").alias("other"))
+    left = written(placed.join(mixed, "bucket").select("rep", "component").distinct(), "leftover")
     tried = stars.select(F.greatest("rep", "pivot").alias("rep"), F.least("rep", "pivot").alias("pivot"))
-    open_ = (
-        left.join(right, "bucket").filter((F.col("component") != F.col("other")) & (F.col("rep") > F.col("pivot")) & _may_link("n", "pivot_n"))
-        .select("rep", "pivot").distinct().join(tried, ["rep", "pivot"], "left_anti")
-    )
+    open_ = _prefix_pairs(own.join(left, "rep")).join(tried, ["rep", "pivot"], "left_anti")
     last = written(verified(written(open_, "asked")), "links")
     if last.limit(1).count():
         found = written(components(links.unionByName(last)), "components")
