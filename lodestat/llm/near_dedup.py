@@ -99,7 +99,7 @@ def _prefix_pairs(rows: DataFrame) -> DataFrame:
 
     Shingles are put in one order, the rarest first. Of two similar sets the larger one has a shingle in common with the
     smaller one among its first n - ceil(t n) + 1, and that is among the smaller one's first n - ceil(2 t n / (1 + t)) + 1
-    (prefix filter with a shorter prefix for the index side).
+    (prefix filter with a shorter prefix for the index side). The places of a common shingle also bound how many more can be.
     """
     cells = rows.select("rep", F.explode("set").alias("shingle"))
     counts = cells.groupBy("shingle").agg(F.count("*").alias("held")).filter("held > 1")
@@ -112,13 +112,17 @@ def _prefix_pairs(rows: DataFrame) -> DataFrame:
     )
     probe = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
     index = F.col("n") - F.ceil(F.col("n") * (2 * PERCENT) / (100 + PERCENT)) + 1
-    head = lambda size: F.explode(F.slice("order", F.lit(1), F.greatest(size - F.col("alone"), F.lit(0)).cast("int"))).alias("s")
-    large = ordered.select("rep", "component", "n", head(probe)).select("s.shingle", "rep", "component", "n")
-    small = ordered.select(F.col("rep").alias("r2"), F.col("component").alias("c2"), F.col("n").alias("n2"), head(index)).select("s.shingle", "r2", "c2", "n2")
-    met = large.join(small, "shingle").filter(
-        (F.col("component") != F.col("c2")) & ((F.col("n") > F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("rep") > F.col("r2")))) & _may_link("n", "n2")
-    )
-    return met.select(F.greatest("rep", "r2").alias("rep"), F.least("rep", "r2").alias("pivot")).distinct()
+    head = lambda size: F.posexplode(F.slice("order", F.lit(1), F.greatest(size - F.col("alone"), F.lit(0)).cast("int"))).alias("at", "s")
+    rest = F.size("order") - 1 - F.col("at")
+    columns = ["rep", "component", "n"]
+    large = ordered.select(*columns, "order", head(probe)).select("s.shingle", *columns, "at", rest.alias("rest"))
+    small = ordered.select(*columns, "order", head(index)).select("s.shingle", *(F.col(c).alias(f"{c}2") for c in columns), F.col("at").alias("at2"), rest.alias("rest2"))
+    # most shingles that two sets with this one in common can share: those before it, itself, those behind it
+    most = F.least("at", "at2") + 1 + F.least("rest", "rest2")
+    larger = (F.col("n") > F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("rep") > F.col("rep2")))
+    similar = _may_link("n", "n2") & ((100 + PERCENT) * most >= PERCENT * (F.col("n") + F.col("n2")))
+    met = large.join(small, "shingle").filter((F.col("component") != F.col("component2")) & larger & similar)
+    return met.select(F.greatest("rep", "rep2").alias("rep"), F.least("rep", "rep2").alias("pivot")).distinct()
 
 
 def groups(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
