@@ -78,6 +78,8 @@ def fit(labelled: DataFrame, doc: str, text: str, label: str, sample: int = SAMP
     # a language's share of the sample; the hash threshold takes a little more, the limit below brings it back
     share = sizes.select("label", F.least(F.lit(1.0), F.lit(sample / max(languages, 1)) / F.col("rows")).alias("share"))
     unit = F.pmod("order", F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
+    # one row a language: no text moves to meet it
+    share = F.broadcast(share) if languages <= 100_000 else share
     chosen = usable.join(share, "label").filter(unit < F.col("share")).drop("share").orderBy("order", "label").limit(sample)
     rows = chosen.mapInArrow(_packed, "order bigint, label string, bits binary").orderBy("order", "label", "bits").collect()
     names = sorted({r["label"] for r in rows})
