@@ -19,6 +19,11 @@ def merge(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFra
     return left.join(right, on, "inner")
 
 
+def side_by_side(left: DataFrame, right: DataFrame, row: str) -> DataFrame:
+    """Columns of both tables by row position; the shorter table is padded with nulls."""
+    return left.join(right, row, "full")
+
+
 def append_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """All rows of ``left`` with the columns of ``right`` where the key is found."""
     return left.join(right, key, "left")

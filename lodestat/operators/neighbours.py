@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lodestat.functions.blocks import as_matrix, smallest_k, squared_distances
 from lodestat.operators.windows import top_k_per
@@ -55,7 +56,8 @@ def _unit(vectors: DataFrame, key: str, value: str) -> DataFrame:
     from pyspark.sql import Window as W
 
     length = F.sqrt(F.sum(F.col(value) * F.col(value)).over(W.partitionBy(key)))
-    return vectors.withColumn(value, F.col(value) / F.nullif(length, F.lit(0.0)))
+    # a vector of zeros is as similar to everything as it can be: 0
+    return vectors.withColumn(value, F.coalesce(F.col(value) / F.nullif(length, F.lit(0.0)), F.lit(0.0)))
 
 
 def knn(similarities: DataFrame, query: str, doc: str, k: int) -> DataFrame:
@@ -91,7 +93,7 @@ def nearest_documents(
     )
 
     def scan(batches):
-        best_s, best_d = np.zeros((len(names), 0)), np.zeros((len(names), 0), dtype=np.int64)
+        best_s, best_d = np.zeros((len(names), 0)), None  # ids may be of any type that sorts
         for batch in batches:
             if batch.num_rows == 0 or len(places) == 0:
                 continue
@@ -112,17 +114,22 @@ def nearest_documents(
                 begin = end
             ids = batch.column("d").to_numpy(zero_copy_only=False)
             best_s = np.hstack([best_s, scores])
-            best_d = np.hstack([best_d, np.broadcast_to(ids, scores.shape)])
-            order = np.lexsort((best_d, -best_s), axis=1)[:, :k]
+            spread_ids = np.broadcast_to(ids, scores.shape)
+            best_d = spread_ids if best_d is None else np.hstack([best_d, spread_ids])
+            place = np.unique(best_d, return_inverse=True)[1].reshape(best_d.shape)
+            order = np.lexsort((place, -best_s), axis=1)[:, :k]
             best_s, best_d = np.take_along_axis(best_s, order, 1), np.take_along_axis(best_d, order, 1)
+        if best_d is None:
+            return
         rows, cols = np.nonzero(np.isfinite(best_s))
         yield pa.RecordBatch.from_arrays(
-            [names.take(pa.array(rows)), pa.array(best_d[rows, cols]), pa.array(best_s[rows, cols])],
+            [names.take(pa.array(rows)), pa.array(best_d[rows, cols], id_type), pa.array(best_s[rows, cols])],
             names=[query, doc, "similarity"],
         )
 
-    kinds = queries.schema[query].dataType.simpleString()
-    found = packed.mapInArrow(scan, f"{query} {kinds}, {doc} bigint, similarity double")
+    kinds, id_kind = queries.schema[query].dataType.simpleString(), corpus.schema[doc].dataType.simpleString()
+    id_type = to_arrow_type(corpus.schema[doc].dataType)
+    found = packed.mapInArrow(scan, f"{query} {kinds}, {doc} {id_kind}, similarity double")
     return top_k_per(found, query, [F.col("similarity").desc(), F.col(doc)], k)
 
 

@@ -158,15 +158,15 @@ def repeated_holdout(
 
 
 def learning_curve(
-    estimator: Estimator, df: DataFrame, key: str, sizes: Sequence[int], fold: str, n: int, evaluator: Evaluator, seed: int = 0
+    estimator: Estimator, df: DataFrame, key: Sequence[str], sizes: Sequence[int], fold: str, n: int, evaluator: Evaluator, seed: int = 0
 ) -> DataFrame:
     """Train and held-out score by training size: (size, fold, train, test). The first ``size`` rows
-    are taken in hashed order, so smaller training sets are nested in larger ones."""
-    data = df.withColumn("_h", hs.hash_hex(key, seed)).persist()
+    are taken in hashed order of the whole row key, so smaller training sets are nested in larger ones."""
+    data = df.withColumn("_h", hs.hash_hex(F.concat_ws(":", *key), seed)).persist()
 
     def one(size, i):
         rest, hit = prep.fold_split(data, fold, i)
-        part = rest.orderBy("_h", key).limit(size)
+        part = rest.orderBy("_h", *key).limit(size)
         model = estimator.fit(part)
         return [(size, i, float(evaluator.evaluate(model.transform(part))), float(evaluator.evaluate(model.transform(hit))))]
 

@@ -609,7 +609,7 @@ def repeated_holdout(spark, folder):
 def learning_curve(spark, folder):
     data = _assembled(_folded(spark, folder), "x1", "x2", "x3")
     out = se.learning_curve(
-        LinearRegression(labelCol="y", solver="normal"), data, "l_orderkey", [50, 500, 5000], "fold", 3,
+        LinearRegression(labelCol="y", solver="normal"), data, ["l_orderkey", "l_linenumber", "l_partkey"], [50, 500, 5000], "fold", 5,
         RegressionEvaluator(labelCol="y", metricName="mse"), SEED,
     )
     return _rounded(out, 3)

@@ -524,12 +524,12 @@ def append_rows(spark, folder):
     "set2_append_columns_by_row",
     """WITH a AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS r FROM customer),
 b AS (SELECT p_partkey, row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1 AS r FROM part)
-SELECT c_custkey, p_partkey FROM a JOIN b USING (r)""",
+SELECT c_custkey, p_partkey FROM a FULL JOIN b USING (r)""",
 )
 def append_columns_by_row(spark, folder):
     a = ro.with_row_id(_t(spark, folder, "customer").select("c_custkey"), ["c_custkey"])
     b = ro.with_row_id(_t(spark, folder, "part").select("p_partkey", "p_retailprice"), ["p_retailprice", "p_partkey"])
-    return jo.merge(a, b, "row_id").select("c_custkey", "p_partkey")
+    return jo.side_by_side(a, b, "row_id").select("c_custkey", "p_partkey")
 
 
 @query(

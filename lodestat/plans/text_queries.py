@@ -16,7 +16,7 @@ from lodestat.session import broadcast_if_small, cut_lineage
 from lodestat.sources import readers as rd
 
 WORDS = 20_000  # dictionary size of the text family
-PAIR_WORDS = 200  # dictionary size of the co-occurrence query
+PAIR_WORDS = 2_000  # dictionary size of the co-occurrence query
 K = 30
 
 

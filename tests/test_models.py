@@ -342,7 +342,7 @@ def test_sweep_picks_the_best_cell(wide):
     assert params == {"p": 0.0} and scores.count() == 6
     summary = {r.p: r for r in se.grid_summary(scores, ["p"]).collect()}
     assert summary[0.0].stderr == pytest.approx(summary[0.0].std / np.sqrt(3))
-    curve = se.learning_curve(LinearRegression(labelCol="y"), data, "id", [20, 60], "fold", 2, evaluator)
+    curve = se.learning_curve(LinearRegression(labelCol="y"), data, ["id"], [20, 60], "fold", 2, evaluator)
     assert curve.count() == 4
 
 

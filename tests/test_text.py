@@ -138,3 +138,16 @@ def test_parse_doc_lines(spark):
 
 def test_label_from_path(tiny_docs):
     assert {r.label for r in co.label_from_path(tiny_docs, "doc_id").collect()} == {"/space/", "/food/", "/none/"}
+
+
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_neighbours_with_text_ids_and_zero_vectors(spark, metric):
+    """Small and large query batches agree on text ids and on a document whose weights are all zero."""
+    corpus = spark.createDataFrame(
+        [("g/a", 0, 1.0), ("g/a", 1, 2.0), ("g/b", 0, 3.0), ("g/c", 1, 0.0), ("g/d", 0, 1.0), ("g/d", 1, 2.0)], "doc string, pos long, weight double"
+    )
+    q = spark.createDataFrame([("x", 0, 1.0), ("x", 1, 1.0)], "q string, pos long, weight double")
+    fast = nn.nearest_documents(q, corpus, "q", "doc", 4, metric=metric)
+    slow = nn.knn(nn.similarity(q, corpus, "q", "doc", "weight", metric), "q", "doc", 4)
+    assert sorted((r["doc"], r["similarity"]) for r in fast.collect()) == sorted((r["doc"], r["similarity"]) for r in slow.collect())
+    assert {r["doc"]: r["similarity"] for r in fast.collect()}["g/c"] == 0.0
