@@ -721,13 +721,13 @@ def single_linkage(spark, folder):
 
 @query("clu10_complete_linkage")
 def complete_linkage(spark, folder):
-    labels, _ = lk.agglomerate(_emb(spark, folder), "vec_id", "v", 10, "complete", seed=SEED)
+    labels, _ = lk.agglomerate(_emb(spark, folder), "vec_id", "v", 10, "complete")
     return labels
 
 
 @query("clu10_average_linkage_merges")
 def average_linkage(spark, folder):
-    _, merges = lk.agglomerate(_emb(spark, folder), "vec_id", "v", 10, "average", seed=SEED)
+    _, merges = lk.agglomerate(_emb(spark, folder), "vec_id", "v", 10, "average")
     return _rounded(merges, 5)
 
 
