@@ -1,4 +1,4 @@
-"""Sufficient statistics: counts, means, covariances and Gram matrices in one distributed pass.
+"""Sufficient statistics: counts, means, centred covariances and Gram matrices by distributed sums.
 
 Their size depends on the number of features only. That bound is checked before anything of that
 size is brought to the driver.
@@ -6,7 +6,7 @@ size is brought to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,17 +21,21 @@ from lodestat.functions.blocks import as_lists, as_matrix
 MAX_FEATURES = 4_096
 MAX_GROUPS = 1_024
 MAX_ROWS = 81_920  # matrix rows, over all groups, that may come to the driver
+AGGREGATED = 8  # columns whose covariances are written out as one aggregate
 TASK_CELLS = 16_000_000  # doubles a task may hold before it hands its partial sums on
 
 
-def gram_rows(df: DataFrame, vec: str | Column, by: str | None = None) -> DataFrame:
-    """Rows of X'X per group as (grp, i, row): one block product per Arrow batch, one partial matrix
-    per task, and an element-wise sum of the partial rows."""
+def _source(df: DataFrame, vec: str | Column, by: str | None) -> DataFrame:
     group = F.col(by).cast("string") if by else F.lit("")
     v = F.col(vec) if isinstance(vec, str) else vec
-    src = df.select(group.alias("grp"), v.cast("array<double>").alias("v")).filter(
-        F.col("v").isNotNull() & F.col("grp").isNotNull()
-    )
+    return df.select(group.alias("grp"), v.cast("array<double>").alias("v")).filter(F.col("v").isNotNull() & F.col("grp").isNotNull())
+
+
+def gram_rows(df: DataFrame, vec: str | Column, by: str | None = None, shifts: Mapping[str, np.ndarray] | None = None) -> DataFrame:
+    """Rows of X'X per group as (grp, i, row): one block product per Arrow batch, one partial matrix
+    per task, and an element-wise sum of the partial rows. ``shifts`` has a vector per group that is
+    taken off its rows first."""
+    src = _source(df, vec, by)
 
     def emit(acc):
         for g, m in acc.items():
@@ -47,11 +51,15 @@ def gram_rows(df: DataFrame, vec: str | Column, by: str | None = None) -> DataFr
             if batch.num_rows == 0:
                 continue
             x = as_matrix(batch.column("v"))
+            if x.shape[1] > MAX_FEATURES:
+                raise ValueError(f"more than {MAX_FEATURES} features")
             codes = batch.column("grp").dictionary_encode()
             names = codes.dictionary.to_pylist()
             at = codes.indices.to_numpy(zero_copy_only=False)
             for c, g in enumerate(names):
                 part = x if len(names) == 1 else x[at == c]
+                if shifts is not None:
+                    part = part - shifts[g]
                 acc[g] = acc.get(g, 0.0) + part.T @ part
             if len(acc) * x.shape[1] ** 2 > TASK_CELLS:
                 yield from emit(acc)
@@ -83,9 +91,11 @@ class Moments:
         return self.cov * self.n
 
 
-def gram_matrices(df: DataFrame, vec: str | Column, by: str | None = None) -> dict[str, np.ndarray]:
+def gram_matrices(
+    df: DataFrame, vec: str | Column, by: str | None = None, shifts: Mapping[str, np.ndarray] | None = None
+) -> dict[str, np.ndarray]:
     """Gram matrices on the driver, one per group; features and groups are bounded and checked."""
-    rows = gram_rows(df, vec, by).limit(MAX_ROWS + 1).collect()
+    rows = gram_rows(df, vec, by, shifts).limit(MAX_ROWS + 1).collect()
     if len(rows) > MAX_ROWS:
         raise ValueError(f"more than {MAX_ROWS} matrix rows over all groups")
     found: dict[str, dict[int, list[float]]] = {}
@@ -96,35 +106,48 @@ def gram_matrices(df: DataFrame, vec: str | Column, by: str | None = None) -> di
     return {g: np.array([m[i] for i in range(len(m))]) for g, m in found.items()}
 
 
-def _with_one(vec: Column, *more: Column) -> Column:
-    return F.concat(F.array(F.lit(1.0), *[m.cast("double") for m in more]), vec.cast("array<double>"))
-
-
 def vector_moments(df: DataFrame, vec: str, *targets: str) -> Moments:
-    """Moments of [targets..., vector] in one pass."""
-    (g,) = gram_matrices(df, _with_one(F.col(vec), *[F.col(t) for t in targets])).values()
-    return _from_augmented(g)
+    """Moments of [targets..., vector]."""
+    both = F.concat(F.array(*[F.col(t).cast("double") for t in targets]), F.col(vec).cast("array<double>")) if targets else F.col(vec)
+    (m,) = _centred(df, both, None).values()
+    return m
 
 
 def vector_moments_by(df: DataFrame, vec: str, by: str) -> dict[str, Moments]:
-    return {k: _from_augmented(g) for k, g in gram_matrices(df, _with_one(F.col(vec)), by).items()}
-
-
-def _from_augmented(g: np.ndarray) -> Moments:
-    n = g[0, 0]
-    mean = g[0, 1:] / n
-    return Moments(n, mean, g[1:, 1:] / n - np.outer(mean, mean))
+    return _centred(df, vec, by)
+
+
+def _centred(df: DataFrame, vec: str | Column, by: str | None) -> dict[str, Moments]:
+    """Moments per group, summed about the group's mean: values far from zero lose no digits.
+
+    The means come from a first pass, which also shows how many groups and features there are before
+    anything of the size of a matrix is made.
+    """
+    src = _source(df, vec, by)
+    mean = vector_to_array(Summarizer.mean(array_to_vector(F.col("v"))))
+    first = src.groupBy("grp").agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d"), mean.alias("mean"))
+    seen = first.select("n", "d").limit(MAX_GROUPS + 1).collect()
+    if len(seen) > MAX_GROUPS or any(r["d"] > MAX_FEATURES for r in seen) or sum(r["d"] for r in seen) > MAX_ROWS:
+        raise ValueError(f"more than {MAX_FEATURES} features, {MAX_GROUPS} groups or {MAX_ROWS} matrix rows")
+    begun = {r["grp"]: (float(r["n"]), np.array(r["mean"])) for r in first.collect()}
+    one = F.concat(F.array(F.lit(1.0)), F.col("v"))
+    grams = gram_matrices(src, one, "grp", {g: np.concatenate([[0.0], m]) for g, (_, m) in begun.items()})
+    out = {}
+    for g, (n, shift) in begun.items():
+        off = grams[g][0, 1:] / n  # what rounding has left between the shift and the mean
+        out[g] = Moments(n, shift + off, grams[g][1:, 1:] / n - np.outer(off, off))
+    return out
 
 
 def column_moments(df: DataFrame, columns: Sequence[str]) -> Moments:
-    """Moments of a few named columns, entirely JVM-side; rows with a null are left out."""
+    """Moments of named columns; rows with a null are left out."""
     return next(iter(column_moments_by(df, columns, None).values()))
 
 
 def column_moments_by(df: DataFrame, columns: Sequence[str], by: str | None) -> dict[str, Moments]:
-    """Per-group moments of a few named columns from one grouped aggregate."""
+    """Per-group moments of named columns: one grouped aggregate for a few, blocks for many. Both are centred."""
     d = len(columns)
-    if d > 32:
+    if d > AGGREGATED:
         packed = df.dropna(subset=list(columns)).select(
             *([by] if by else []), F.array(*[F.col(c).cast("double") for c in columns]).alias("_v")
         )

@@ -93,13 +93,13 @@ def sweep(
 
 
 def _minus(a: Moments, parts: Sequence[Moments]) -> Moments:
-    """Moments of the rows that are in ``a`` but in none of ``parts``."""
+    """Moments of the rows that are in ``a`` but in none of ``parts``; scatters are split, raw squares never subtracted."""
     import numpy as np
 
-    n = a.n - sum(p.n for p in parts)
-    mean = (a.n * a.mean - sum(p.n * p.mean for p in parts)) / n
-    second = a.n * (a.cov + np.outer(a.mean, a.mean)) - sum(p.n * (p.cov + np.outer(p.mean, p.mean)) for p in parts)
-    return Moments(n, mean, second / n - np.outer(mean, mean))
+    b = _merge(parts)
+    n, gap = a.n - b.n, b.mean - a.mean
+    scatter = a.scatter() - b.scatter() - (a.n * b.n / n) * np.outer(gap, gap)
+    return Moments(n, a.mean - (b.n / n) * gap, scatter / n)
 
 
 def _mse(fit: li.LinearFit, m: Moments) -> float:
@@ -126,10 +126,10 @@ def ridge_cv_path(df: DataFrame, y: str, xs: Sequence[str], alphas: Sequence[flo
 def _merge(parts: Sequence[Moments]) -> Moments:
     import numpy as np
 
-    n = sum(p.n for p in parts)
-    mean = sum(p.n * p.mean for p in parts) / n
-    second = sum(p.n * (p.cov + np.outer(p.mean, p.mean)) for p in parts)
-    return Moments(n, mean, second / n - np.outer(mean, mean))
+    n, start = sum(p.n for p in parts), parts[0].mean
+    mean = start + sum(p.n * (p.mean - start) for p in parts) / n
+    scatter = sum(p.scatter() + p.n * np.outer(p.mean - mean, p.mean - mean) for p in parts)
+    return Moments(n, mean, scatter / n)
 
 
 def repeated_holdout(

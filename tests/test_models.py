@@ -267,7 +267,7 @@ def test_single_linkage_with_equal_rows(spark):
 
 
 @pytest.mark.parametrize("linkage", ["complete", "average"])
-def test_agglomerate_is_exact_when_items_cover_the_rows(vectors, linkage):
+def test_agglomerate_is_exact(vectors, linkage, monkeypatch):
     df, x, _, _ = vectors
     df, x = df.filter("id < 40"), x[:40]
     labels, merges = lk.agglomerate(df, "id", "v", 4, linkage)
@@ -284,8 +284,41 @@ def test_agglomerate_is_exact_when_items_cover_the_rows(vectors, linkage):
         got = labels.toPandas().groupby("cluster")["id"].apply(lambda s: frozenset(int(i) for i in s))
         assert set(got) == {frozenset(g) for g in four}
     assert np.allclose([r.height for r in merges.orderBy("step").collect()], heights, atol=1e-6)
-    few, _ = lk.agglomerate(df, "id", "v", 4, linkage, items=10)
-    assert few.count() == 40
+    parts = lambda found: {frozenset(g["id"]) for _, g in found.toPandas().groupby("cluster")}
+    tree = lambda found: [(r.step, r.a, r.b, round(r.height, 6), r.size) for r in found.orderBy("step").collect()]
+    for block, large in ((4096, 1024), (16, 3)):  # rounds in one block; several blocks, larger clusters spread over them
+        monkeypatch.setattr(lk, "BLOCK", block)
+        monkeypatch.setattr(lk, "LARGE", large)
+        few, again = lk.agglomerate(df, "id", "v", 4, linkage, items=6)
+        assert parts(few) == parts(labels) and tree(again) == tree(merges)
+
+
+def test_agglomerate_beyond_the_matrix(spark):
+    x = np.random.default_rng(4).random((1_100, 3))
+    df = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(x)], "id int, v array<double>")
+    labels, merges = lk.agglomerate(df, "id", "v", 7, "complete")
+    assert merges.count() == 1_099 and labels.count() == 1_100 and labels.select("cluster").distinct().count() == 7
+    assert merges.agg({"size": "max"}).first()[0] == 1_100
+
+
+def test_agglomerate_repeated_rows(spark):
+    rows = [(0, [0.0]), (1, [0.0]), (2, [1.0]), (3, None)]
+    labels, merges = lk.agglomerate(spark.createDataFrame(rows, "id int, v array<double>"), "id", "v", 1, "average")
+    assert {tuple(r) for r in labels.collect()} == {(0, 0), (1, 0), (2, 0)}
+    assert [tuple(r) for r in merges.collect()] == [(0, 0, 1, 1.0, 3.0)]
+
+
+@pytest.mark.parametrize("width", [1, 8, 9, 33])
+def test_moments_far_from_zero(spark, width):
+    values = np.array([i / 999 for i in range(1_000)])
+    names = [f"c{i}" for i in range(width)]
+    df = spark.createDataFrame([tuple([1e9 + float(v)] * width) for v in values], ", ".join(f"{c} double" for c in names))
+    m = mo.column_moments(df, names)
+    assert np.allclose(m.cov, values.var(), atol=1e-6) and np.allclose(m.mean, 1e9 + values.mean())
+    parts = mo.column_moments_by(df.withColumn("g", (F.col("c0") > 1e9 + 0.3).cast("int")), names, "g")
+    whole = se._merge(list(parts.values()))
+    assert np.allclose(whole.cov, values.var(), atol=1e-6)
+    assert np.allclose(se._minus(whole, [parts["0"]]).cov, parts["1"].cov, atol=1e-6)
 
 
 def test_components(vectors):
