@@ -311,7 +311,7 @@ def ridge_path(spark, folder):
 
 @query("reg10_lasso_path")
 def lasso_path(spark, folder):
-    return _rounded(li.coef_path(_priced(spark, folder), "y", ["x1", "x2", "x3"], [0.1, 0.3, 0.5, 0.7, 0.9], "lasso"), 4)
+    return _rounded(li.coef_path(_priced(spark, folder), "y", ["x1", "x2", "x3"], [i / 10 for i in range(1, 10)], "lasso"), 4)
 
 
 def _assembled(df, *names):
@@ -594,14 +594,14 @@ def grid_search(spark, folder):
 @query(
     "eva12_repeated_holdout",
     f"""WITH lf AS (SELECT l_extendedprice / 1000 AS y, l_quantity AS x, l_orderkey FROM lineitem),
-m AS (SELECT r, y, x, CAST('0x' || substr(md5(r || ':' || l_orderkey), 1, 8) AS BIGINT) / 4294967296.0 < 0.2 AS t FROM lf, range(10) g(r)),
+m AS (SELECT r, y, x, CAST('0x' || substr(md5(r || ':' || l_orderkey), 1, 8) AS BIGINT) / 4294967296.0 < 0.2 AS t FROM lf, range(100) g(r)),
 s AS (SELECT r, count(*) * covar_pop(x, y) AS c, count(*) * var_pop(x) AS v, avg(x) AS mx, avg(y) AS my FROM m WHERE NOT t GROUP BY r),
 w AS (SELECT *, model, c / (v + alpha) AS b FROM s, (VALUES ('ols', 0.0), ('ridge', 50000.0)) k(model, alpha)),
 e AS (SELECT r, model, avg((y - my - b * (x - mx)) ** 2) FILTER (t) AS test_mse, avg((y - my - b * (x - mx)) ** 2) FILTER (NOT t) AS train_mse, var_pop(y) FILTER (t) AS tv, var_pop(y) FILTER (NOT t) AS nv FROM m JOIN w USING (r) GROUP BY ALL)
 SELECT CAST(r AS INT) AS repeat, model, round(1 - train_mse / nv, 6) AS train_r2, round(1 - test_mse / tv, 6) AS test_r2, round(test_mse, 4) AS test_mse FROM e""",
 )
 def repeated_holdout(spark, folder):
-    h = se.repeated_holdout(_priced(spark, folder, spread=True), "y", ["x1"], "l_orderkey", 10, 0.2, 50_000.0)
+    h = se.repeated_holdout(_priced(spark, folder, spread=True), "y", ["x1"], "l_orderkey", 100, 0.2, 50_000.0)
     return h.select("repeat", "model", F.round("train_r2", 6).alias("train_r2"), F.round("test_r2", 6).alias("test_r2"), F.round("test_mse", 4).alias("test_mse"))
 
 
@@ -619,7 +619,7 @@ def learning_curve(spark, folder):
 def degree_curve(spark, folder):
     data = _priced(spark, folder).withColumn("x", F.col("x1") / 50)
     train, test = pr.split(data, "l_orderkey", 0.3, SEED)
-    return _rounded(se.degree_curve(train, test, "y", "x", [1, 2, 3, 4]), 1)
+    return _rounded(se.degree_curve(train, test, "y", "x", list(range(1, 10))), 1)
 
 
 @query("eva15_training_history")
