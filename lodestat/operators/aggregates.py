@@ -8,11 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestat.session import cut_lineage
+
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n"))
 
 
+def running_total(counts: DataFrame, by: str, value: str, name: str = "running") -> DataFrame:
+    """Sum of ``value`` over the rows up to each one in the order of ``by``, whose values don't repeat; null comes first.
+
+    The rows are dealt out by ranges of ``by`` and written once; a running sum inside each range starts at the total of the
+    ranges before it. So no task holds all rows, however many distinct values there are.
+    """
+    ranged = cut_lineage(counts.repartitionByRange(by).withColumn("_part", F.spark_partition_id()))
+    # one row per range: small whatever the data size
+    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    totals = ranged.groupBy("_part").agg(F.sum(value).alias("_total"))
+    starts = totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    inside = W.partitionBy("_part").orderBy(by).rowsBetween(W.unboundedPreceding, 0)
+    placed = ranged.join(F.broadcast(starts), "_part")
+    return placed.withColumn(name, F.col("_start") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_part", "_start")
+
+
 def collect_values(df: DataFrame, key: str | Sequence[str], value: str, name: str) -> DataFrame:
     """Sorted values per key. Meant for keys that are bounded by nature, such as one document."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestat.operators.aggregates import running_total
+from lodestat.session import cut_lineage, fits
+
+MAX_CLASSES = 1_000  # a confusion table has the square of this many cells
+
 
 def reg_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """SSE, MSE, RMSE, MAE and R2 in one pass."""
@@ -32,8 +37,11 @@ def accuracy(pred: DataFrame, label: str = "label", prediction: str = "predictio
 
 def confusion(pred: DataFrame, label: str = "label", prediction: str = "prediction", normalize: bool = False) -> DataFrame:
     """Every (label, prediction) cell including zeros; ``normalize`` adds the share of the true row.
-    The rows counted come down to one per cell before anything is completed."""
-    counts = pred.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
+    The rows counted come down to one per cell, written once, and the classes are checked before anything is completed."""
+    counts = cut_lineage(pred.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n")))
+    classes = counts.select("label").union(counts.select("prediction")).distinct()
+    if not fits(classes, MAX_CLASSES):
+        raise ValueError(f"a confusion table is made for at most {MAX_CLASSES} classes; crosstab counts the cells of more")
     names = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("label", "prediction")))))
     frame = counts.agg(names.alias("names"))
     cells = frame.select("names", F.explode("names").alias("label")).select("label", F.explode("names").alias("prediction"))
@@ -85,19 +93,12 @@ def auc(pred: DataFrame, label: str = "label", score: str = "score") -> DataFram
     Scores are first counted per distinct value and then per range of values, so that no step sorts
     all rows in one task: a pair (positive, negative) counts 1 when its scores lie in order.
     """
-    from lodestat.session import cut_lineage
-
     per = pred.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
     )
-    ranged = cut_lineage(per.repartitionByRange("s").withColumn("part", F.spark_partition_id()))
-    parts = ranged.groupBy("part").agg(F.sum("neg").alias("part_neg"))
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row per partition
-    starts = parts.select("part", F.coalesce(F.sum("part_neg").over(before), F.lit(0)).alias("start"))
-    inside = W.partitionBy("part").orderBy("s").rowsBetween(W.unboundedPreceding, -1)
-    below = F.col("start") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
-    placed = ranged.join(F.broadcast(starts), "part")
+    placed = running_total(per, "s", "neg")
+    below = F.col("running") - F.col("neg")
     return placed.select("pos", "neg", (F.col("pos") * (below + F.col("neg") / 2)).alias("wins")).agg(
         (F.sum("wins") / F.nullif(F.sum("pos") * F.sum("neg").cast("double"), F.lit(0.0))).alias("auc")
     )

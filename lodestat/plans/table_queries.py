@@ -397,12 +397,8 @@ def histogram_by_group(spark, folder):
 
 @query("win5_running_distribution", "SELECT l_quantity, CAST(sum(count(*)) OVER (ORDER BY l_quantity) AS BIGINT) AS running FROM lineitem GROUP BY l_quantity")
 def running_distribution(spark, folder):
-    from pyspark.sql import Window as W
-
-    # the window sees one row per distinct quantity
     counts = ag.value_counts(_t(spark, folder, "lineitem"), "l_quantity")
-    w = W.orderBy("l_quantity").rowsBetween(W.unboundedPreceding, 0)
-    return counts.select("l_quantity", F.sum("n").over(w).alias("running"))
+    return ag.running_total(counts, "l_quantity", "n", "running").select("l_quantity", "running")
 
 
 @query(

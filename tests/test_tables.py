@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from lodestat.functions import arrays as ar
 from lodestat.functions import hashing as hs
+from lodestat.operators import aggregates as ag
 from lodestat.operators import joins as jo
 from lodestat.operators import metrics as me
 from lodestat.operators import prep as pr
@@ -145,3 +146,25 @@ def test_improved_and_best(spark):
     steps = spark.createDataFrame([(1, 5.0), (2, 4.0), (3, 4.5)], "d int, e double")
     assert [r.verdict for r in wi.improved(steps, "d", "e").orderBy("d").collect()] == ["start", "better", "not better"]
     assert wi.best(steps, "e").first().d == 2
+
+
+def test_running_total_over_ranges(spark):
+    rng = np.random.default_rng(3)
+    by, n = rng.permutation(500), rng.integers(0, 9, 500)
+    rows = spark.createDataFrame([*zip(by.tolist(), n.tolist(), strict=True), (None, 4)], "by int, n bigint")
+    want, total = {None: 4}, 4
+    for i in np.argsort(by):
+        total += int(n[i])
+        want[int(by[i])] = total
+    got = ag.running_total(rows.repartition(7), "by", "n")
+    assert got.columns == ["by", "n", "running"] and {r["by"]: r["running"] for r in got.collect()} == want
+    assert ag.running_total(rows.limit(0), "by", "n").count() == 0
+
+
+def test_confusion_checks_the_number_of_classes(spark, monkeypatch):
+    pred = spark.createDataFrame([(0, 0), (0, 1), (2, 1)], "label int, prediction int")
+    cells = {(r["label"], r["prediction"]): r["n"] for r in me.confusion(pred).collect()}
+    assert cells == {(a, b): int((a, b) in {(0, 0), (0, 1), (2, 1)}) for a in (0, 1, 2) for b in (0, 1, 2)}
+    monkeypatch.setattr(me, "MAX_CLASSES", 2)
+    with pytest.raises(ValueError, match="at most 2 classes"):
+        me.confusion(pred)
