@@ -4,7 +4,8 @@ Seeds are runs of ``K`` words, chosen by winnowing: of ``WINDOW`` runs that foll
 hash is a seed, so any two texts that share K + WINDOW - 1 words share a seed. Every occurrence of a seed is joined to its
 first one (smallest id, then place), so a passage of very many documents makes one row an occurrence, never pairs. The
 seeds that a document shares with an earlier one are chained in order: a Fenwick tree finds the best chain before each seed
-under a cost for the gap. Chains are then aligned word by word, and stretched at both ends, to fuzzy passages.
+under a cost for the gap. Chains are then aligned word by word, and stretched at both ends, to fuzzy passages. An aligned
+chain that is not alike enough as a whole is cut at its gaps, and each part that is long and alike enough is a passage.
 """
 
 from __future__ import annotations
@@ -201,6 +202,95 @@ def align(xs: np.ndarray, ys: np.ndarray, a: np.ndarray, b: np.ndarray, a0: int,
     return int(x[0]) - left + a0, px + right + a0, int(y[0]) - left + b0, py + right + b0, matched + left_matched + right_matched
 
 
+def _lcs(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Places of a longest common subsequence, what is equal at the two ends first."""
+    n = min(len(a), len(b))
+    if n == 0:
+        return []
+    head, tail = a[:n] == b[:n], a[::-1][:n] == b[::-1][:n]
+    front = n if head.all() else int(head.argmin())
+    back = min(n - front, n if tail.all() else int(tail.argmin()))
+    u, v = a[front : len(a) - back], b[front : len(b) - back]
+    table = np.zeros((len(u) + 1, len(v) + 1), np.int32)
+    for i, w in enumerate(u):
+        table[i + 1, 1:] = np.maximum.accumulate(np.maximum(table[i, 1:], table[i, :-1] + (v == w)))
+    i, j, middle = len(u), len(v), []
+    while i and j:
+        if table[i, j] == table[i - 1, j]:
+            i -= 1
+        elif table[i, j] == table[i, j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            middle.append((front + i, front + j))
+    return [(i, i) for i in range(front)] + middle[::-1] + [(len(a) - back + i, len(b) - back + i) for i in range(back)]
+
+
+def _runs(xs: np.ndarray, ys: np.ndarray, a: np.ndarray, b: np.ndarray, a0: int, b0: int) -> np.ndarray:
+    """Runs (place in a, place in b, words) of equal words of the same alignment as ``align`` makes, in order."""
+    x, y = (xs - a0).tolist(), (ys - b0).tolist()
+    px, py, places = x[0], y[0], []
+    for sx, sy in zip(x, y):
+        more = max(px - sx, py - sy, 0)
+        sx, sy, length = sx + more, sy + more, K - more
+        if length <= 0:
+            continue
+        places += [(px + i, py + j) for i, j in _lcs(a[px:sx], b[py:sy])]
+        places += [(sx + i, sy + i) for i in np.flatnonzero(a[sx : sx + length] == b[sy : sy + length]).tolist()]
+        px, py = sx + length, sy + length
+    left, right = _stretch(a[: x[0]][::-1], b[: y[0]][::-1])[0], _stretch(a[px:], b[py:])[0]
+    before = [(x[0] - i, y[0] - i) for i in range(left, 0, -1) if a[x[0] - i] == b[y[0] - i]]
+    behind = [(px + i, py + i) for i in range(right) if a[px + i] == b[py + i]]
+    at = np.array(before + places + behind, np.int64).reshape(-1, 2)
+    edges = np.flatnonzero((np.diff(at, axis=0) != 1).any(axis=1)) + 1
+    starts = np.concatenate([[0], edges]).astype(np.int64)
+    return np.column_stack([at[starts], np.diff(np.append(starts, len(at)))])
+
+
+def segments(runs: np.ndarray, min_words: int, identity: float) -> list[tuple[int, int, int, int, int]]:
+    """Parts (start, end, first start, first end, matched) of an alignment, from a run to a run, that are long and alike enough.
+
+    The longest part comes first, then those to its left and right. Ends that the rest of a part does not carry (a match is
+    worth 1, a word beside it costs 2, as in ``_stretch``) are left off, unless the part would get too short by that.
+    """
+    out, todo = [], [(0, len(runs))]
+    x, y, n = runs.T
+    total = np.concatenate([[0], np.cumsum(n)])
+
+    def fits(i, j):  # runs i to j, both included; j may be an array
+        matched, own, other = total[j + 1] - total[i], x[j] + n[j] - x[i], y[j] + n[j] - y[i]
+        return (own >= min_words) & (matched >= identity * np.maximum(own, other)), own
+
+    while todo:
+        low, high = todo.pop()
+        best = (0, -1, -1)
+        for i in range(low, high):
+            if x[high - 1] + n[high - 1] - x[i] <= best[0]:
+                break
+            good, own = fits(i, np.arange(i, high))
+            at = np.flatnonzero(good)
+            if len(at) and own[at[-1]] > best[0]:
+                best = (int(own[at[-1]]), i, i + int(at[-1]))
+        if best[1] < 0:
+            continue
+        i, j = best[1:]
+        # the best part within under match 1, mismatch -2
+        gap = np.maximum(x[i + 1 : j + 1] - (x[i:j] + n[i:j]), y[i + 1 : j + 1] - (y[i:j] + n[i:j]))
+        score, begin, top = 0, i, (-1, i, j)
+        for r in range(i, j + 1):
+            score -= 2 * int(gap[r - i - 1]) if r > i else 0
+            if score <= 0:
+                score, begin = 0, r
+            score += int(n[r])
+            if score > top[0]:
+                top = (score, begin, r)
+        if fits(top[1], np.array(top[2]))[0]:
+            i, j = top[1:]
+        out.append((int(x[i]), int(x[j] + n[j]), int(y[i]), int(y[j] + n[j]), int(total[j + 1] - total[i])))
+        todo += [(low, i), (j + 1, high)]
+    return sorted(out)
+
+
 def _aligned(min_words: int, identity: float):
     def run(batches):
         names = ["id", "start_word", "end_word", "first", "first_start", "first_end", "matched", "identity"]
@@ -213,6 +303,9 @@ def _aligned(min_words: int, identity: float):
                 share = matched / max(e - s, fe - fs, 1)
                 if e - s >= min_words and share >= identity:
                     rows.append((own, s, e, first, fs, fe, matched, share))
+                elif e - s >= min_words:
+                    for s, e, fs, fe, matched in segments(_runs(np.array(xs), np.array(ys), a, b, low, flow), min_words, identity):
+                        rows.append((own, s + low, e + low, first, fs + flow, fe + flow, matched, matched / max(e - s, fe - fs)))
             if rows:
                 columns = list(zip(*rows))
                 kinds = [pa.int64()] * 7 + [pa.float64()]

@@ -425,6 +425,42 @@ def test_passages_find_every_long_repeat(table, texts):
             seen.setdefault(run, d)
 
 
+@pytest.mark.parametrize("apart", [30, 35, 45, 60])
+def test_passages_apart(spark, apart):
+    """Two exact passages with foreign words between them on one side are two rows, on either side."""
+    rng = random.Random(apart)
+    fresh = lambda n, tag: [f"{tag}{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, c, d = fresh(55, "a"), fresh(55, "b"), fresh(55, "c"), fresh(55, "d")
+    rows = [(1, fresh(9, "e") + a + b), (2, a + fresh(apart, "f") + b), (3, c + fresh(apart, "g") + d), (4, c + fresh(apart, "h") + d + fresh(7, "i"))]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["start_word"], r["end_word"], r["first_doc_id"], r["first_start"], r["matched"]) for r in passages.passages(docs).collect())
+    far = 55 + apart
+    assert got == [(2, 0, 55, 1, 9, 55), (2, far, far + 55, 1, 64, 55), (4, 0, 55, 3, 0, 55), (4, far, far + 55, 3, far, 55)]
+    left = {r["doc_id"]: r["text"].split() for r in passages.without_passages(docs).collect()}
+    assert left[2] == rows[1][1][55:far] and left[4] == rows[3][1][55:far] + rows[3][1][-7:]
+
+
+def test_segments_match_brute_force():
+    """The longest good part is found or is one of the parts without its poor ends; parts are good and apart."""
+    rng = random.Random(8)
+    for _ in range(200):
+        runs, x, y = [], 0, 0
+        for _ in range(rng.randint(1, 7)):
+            n = rng.randint(1, 60)
+            runs.append((x, y, n))
+            x, y = x + n + rng.randint(0, 30), y + n + rng.randint(1, 30)
+        runs = np.array(runs)
+        every = [(a, b) for a in range(len(runs)) for b in range(a, len(runs))]
+        size = lambda a, b: (int(runs[b, 0] + runs[b, 2] - runs[a, 0]), int(runs[b, 1] + runs[b, 2] - runs[a, 1]), int(runs[a : b + 1, 2].sum()))
+        good = [(a, b) for a, b in every if size(a, b)[0] >= 50 and size(a, b)[2] >= 0.8 * max(size(a, b)[:2])]
+        got = passages.segments(runs, 50, 0.8)
+        assert bool(got) == bool(good)
+        assert all(e - s >= 50 and m >= 0.8 * max(e - s, fe - fs) for s, e, fs, fe, m in got)
+        assert all(p[1] <= q[0] and p[3] <= q[2] for p, q in zip(got, got[1:]))
+        for a, b in good:  # no good part is left without a found one in it or over it
+            assert any(s < runs[b, 0] + runs[b, 2] and e > runs[a, 0] for s, e, *_ in got)
+
+
 def test_chains_match_quadratic():
     rng = random.Random(5)
     for _ in range(60):
