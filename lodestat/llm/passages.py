@@ -2,7 +2,9 @@
 
 Seeds are runs of ``K`` words, chosen by winnowing: of ``WINDOW`` runs that follow one another the one with the smallest
 hash is a seed, so any two texts that share K + WINDOW - 1 words share a seed. Every occurrence of a seed is joined to its
-first one (smallest id, then place), so a passage of very many documents makes one row an occurrence, never pairs. The
+first one (smallest id, then place), so a passage of very many documents makes one row an occurrence, never pairs. The first
+document with a seed need not be one with the passage around it, so the same is done for the longer runs, of ``SPANS``
+words, that begin at each seed: a passage whose parts lie in several earlier documents still meets one that has it whole. The
 seeds that a document shares with an earlier one are chained in order: a Fenwick tree finds the best chain before each seed
 under a cost for the gap. Chains are then aligned word by word, and stretched at both ends, to fuzzy passages. An aligned
 chain that is not alike enough as a whole is cut at its gaps, and each part that is long and alike enough is a passage.
@@ -15,12 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.llm.batches import Words, lists, lowered, slabs, space_words, text_bytes
+from lodestat.llm.batches import Words, lists, lowered, mix, odd_constants, slabs, space_words, text_bytes
 from lodestat.llm.shared import written
 from lodestat.session import broadcast_if_small
 
 K = 8
 WINDOW = 16
+SPANS = (24, 50)  # words of the longer runs that are joined, each from a seed on
 MIN_WORDS = 50
 IDENTITY = 0.8
 GAP_COST = 0.1
@@ -34,7 +37,7 @@ def _words(column: pa.Array) -> Words:
 
 
 def _seeds(batches):
-    """Task function: (id, key, seeds<pos, hash>) of each whole text."""
+    """Task function: (id, seeds<pos, hash, long0, long1>) of each whole text; long<i> is of SPANS[i] words, null beyond the end."""
     for slab in slabs(batches, "text"):
         words = _words(slab.column("text"))
         first, hashes = words.grams(K)
@@ -52,11 +55,25 @@ def _seeds(batches):
         few = np.bincount(owner, minlength=words.docs) < WINDOW  # shorter than a window: all seeds
         chosen |= few[owner]
         first, hashes, owner = first[chosen], hashes[chosen], owner[chosen]
-        seeds = pa.StructArray.from_arrays([pa.array(words.position()[first], pa.int32()), pa.array(hashes.view(np.int64))], names=["pos", "hash"])
+        longer = [_runs_from(words, first, size) for size in SPANS]
+        seeds = pa.StructArray.from_arrays(
+            [pa.array(words.position()[first], pa.int32()), pa.array(hashes.view(np.int64)), *longer], names=["pos", "hash", *(f"long{i}" for i in range(len(SPANS)))]
+        )
         offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=words.docs))]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([slab.column("id"), pa.ListArray.from_arrays(pa.array(offsets), seeds)], names=["id", "seeds"])
 
 
+def _runs_from(words: Words, first: np.ndarray, size: int) -> pa.Array:
+    """32-bit hashes of the ``size`` words from each given one on, null where the text ends before. Used beside a seed's hash."""
+    whole = words.position()[first] + size <= words.count[words.doc[first]]
+    total = np.zeros(int(whole.sum()), np.uint64)
+    for j, factor in enumerate(odd_constants(size, 1001 + size)):
+        total += mix(words.hash[first[whole] + j] * factor + np.uint64(j))
+    out = np.zeros(len(first), np.int32)
+    out[whole] = (mix(total) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return pa.array(out, mask=~whole)
+
+
 def best_chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """Chains of seeds (x ascending), as positions: both coordinates grow along a chain, and no seed is in two chains.
 
@@ -324,17 +341,32 @@ def passages(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words
     """
     rows = docs.filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).cast("bigint").alias("id"), F.col(text).alias("text"))
     seeds = (
-        rows.mapInArrow(_seeds, "id bigint, seeds array<struct<pos:int,hash:bigint>>")
-        .select("id", F.explode("seeds").alias("s")).select("id", "s.pos", "s.hash")
+        rows.mapInArrow(_seeds, "id bigint, seeds array<struct<pos:int,hash:bigint,long0:int,long1:int>>")
+        .select("id", F.explode("seeds").alias("s")).select("id", "s.*")
     )
     seeds = written(seeds, "seeds")
     firsts = (
         seeds.groupBy("hash").agg(F.min(F.struct("id", "pos")).alias("f"), F.max("id").alias("last"))
         .filter(F.col("f.id") < F.col("last")).select("hash", F.col("f.id").alias("first"), F.col("f.pos").alias("first_pos"))
     )
-    matches = seeds.join(firsts, "hash").filter("id > first").select("id", "first", "pos", "first_pos")
+    shared = written(seeds.join(firsts, "hash"), "shared")
+    matches = shared.filter("id > first").select("id", "first", "pos", "first_pos")
+    for i, size in enumerate(SPANS):
+        # only where the longer run is first held at another place than its seed is; that place is new
+        key = ["hash", f"long{i}"]
+        held = (
+            shared.filter(F.col(f"long{i}").isNotNull()).groupBy(*key)
+            .agg(F.min(F.struct("id", "pos")).alias("f"), F.max("id").alias("last"), F.min(F.struct("first", "first_pos")).alias("seed"))
+            .filter((F.col("f.id") < F.col("last")) & ((F.col("f.id") != F.col("seed.first")) | (F.col("f.pos") != F.col("seed.first_pos"))))
+            .select(*key, F.col("f.id").alias("holder"), F.col("f.pos").alias("holder_pos"))
+        )
+        step = F.explode(F.array(F.lit(0), F.lit(size - K))).alias("step")  # a longer run is the pair of seeds at its two ends
+        more = shared.select("id", "pos", *key).join(broadcast_if_small(written(held, "held")), key).filter("id > holder").select("id", "holder", "pos", "holder_pos", step)
+        matches = matches.unionByName(
+            more.select("id", F.col("holder").alias("first"), (F.col("pos") + F.col("step")).alias("pos"), (F.col("holder_pos") + F.col("step")).alias("first_pos"))
+        )
     # one document's seeds in one task; a first document that very many others share is no key here
-    sorted_ = matches.distinct().repartition("id").sortWithinPartitions("id", "first", "pos", "first_pos")
+    sorted_ = matches.repartition("id").distinct().sortWithinPartitions("id", "first", "pos", "first_pos")
     chains = written(sorted_.mapInArrow(_chains(min_words), "id bigint, first bigint, xs array<int>, ys array<int>"), "chains")
     around = lambda c: (F.greatest(F.get(c, F.lit(0)) - MARGIN, F.lit(0)), F.element_at(c, -1) + K + MARGIN)
     low, high = around("xs")

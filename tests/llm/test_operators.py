@@ -440,6 +440,24 @@ def test_passages_apart(spark, apart):
     assert left[2] == rows[1][1][55:far] and left[4] == rows[3][1][55:far] + rows[3][1][-7:]
 
 
+@pytest.mark.parametrize("size", [60, 120])
+def test_passages_with_parts_in_other_documents(spark, size):
+    """Both halves of a passage lie in two smaller ids; the next two documents hold it whole."""
+    rng = random.Random(size)
+    fresh = lambda n, tag: [f"{tag}{rng.randrange(10**6)}" for _ in range(n)]
+    docs, want = [], set()
+    for n in range(12):
+        p, part = fresh(size, "p"), [30, 40][n % 2]
+        cuts = [p[i : i + part] for i in range(0, size, part)]
+        at = 10 * n
+        docs += [(at + i, fresh(8, "a") + c + fresh(8, "b")) for i, c in enumerate(cuts)]
+        docs += [(at + 8, fresh(11, "c") + p + fresh(5, "d")), (at + 9, fresh(17, "e") + p)]
+        want.add((at + 9, 17, 17 + size, at + 8, 11, 11 + size))
+    rows = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string")
+    got = passages.passages(rows).collect()
+    assert {(r["doc_id"], r["start_word"], r["end_word"], r["first_doc_id"], r["first_start"], r["first_end"]) for r in got} == want
+
+
 def test_segments_match_brute_force():
     """The longest good part is found or is one of the parts without its poor ends; parts are good and apart."""
     rng = random.Random(8)
