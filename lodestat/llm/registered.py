@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import byte_bpe, fingerprints, language_id, license_scan, mixing, near_dedup, passages, quality_rules, token_count, training_order
+from lodestat.llm import (
+    backtrack_bpe, byte_bpe, fingerprints, language_id, license_scan, mixing, near_dedup, passages, prefix_trie, quality_rules, spelling_variants,
+    token_count, training_order,
+)
 from lodestat.llm.shared import documents
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +77,29 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations, with members, children, leaves, saved words and ends."""
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by backtracking over longest matches, decoded through the offset table, both as digests."""
+    path = public_tokenizers.path(WORD_BPE)
+    encoded = backtrack_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
+    decoded = backtrack_bpe.decode(encoded, path)
+    digested = backtrack_bpe.with_digests(decoded, "ids", "ids_sha256")
+    return digested.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of at least 7 code points seen twice, with its near words, form and root."""
+    return spelling_variants.variants(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_token_count, op3_repeated_passages, op4_mix_sources, op5_byte_bpe, op6_fingerprints,
-    op7_quality_rules, op8_training_order, op9_near_duplicates, op10_language_id,
+    op7_quality_rules, op8_training_order, op9_near_duplicates, op10_language_id, op11_prefix_trie, op12_backtrack_bpe,
+    op13_spelling_variants,
 )}
 
 SQL = {

@@ -15,7 +15,7 @@ sys.path.append(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def test_names():
-    assert [n.split("_")[0] for n in registered.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in registered.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*registered.QUERIES, "pipeline"} <= set(__spark_entry__.queries()) and set(registered.SQL) <= set(__spark_entry__.oracle_sql())
 
 
