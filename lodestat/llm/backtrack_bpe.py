@@ -30,7 +30,9 @@ from pyspark.sql import types as T
 
 from lodestat.llm.batches import slabs
 
-MEMO_WORDS = 400_000  # encoded words a worker remembers before it starts afresh; only speed depends on it
+MEMO_WORDS = 100_000  # encoded words a worker remembers before it starts afresh; only speed depends on it
+MEMO_PAIRS = 200_000  # compatibility verdicts a worker remembers before it starts afresh
+SLAB = 512 << 10  # text bytes encoded at once in a task
 END_MARK = 0x10000  # a word's last symbol, with the word-end suffix, is written as this code point plus the symbol's
 
 
@@ -124,6 +126,8 @@ class Vocabulary:
                 if nx == x:
                     break
                 x = nx
+        if len(self.compatible) >= MEMO_PAIRS:
+            self.compatible.clear()
         self.compatible[key] = verdict
         return verdict
 
@@ -211,14 +215,18 @@ def _split_special(tok, text: str):
         yield text[at:], None
 
 
-def _encoder(path: str, column: str, out: str):
+def _encoder(path: str, column: str, out: str, decoded: str | None):
     def run(batches):
         v = vocabulary(path)
         memo = _memo.setdefault(path, {})
-        for slab in slabs(batches, column):
+        for slab in slabs(batches, column, SLAB):
             texts = pc.fill_null(slab.column(column).cast(pa.string()), "").to_pylist()
             lists = [encode_text(v, t, memo) for t in texts]
-            yield slab.drop_columns([column]).append_column(out, pa.array(lists, pa.list_(pa.int32())))
+            done = slab.drop_columns([column]).append_column(out, pa.array(lists, pa.list_(pa.int32())))
+            if decoded is not None:
+                words = [v.decode(np.asarray(ids, np.int64)).decode("utf-8", "replace") for ids in lists]
+                done = done.append_column(decoded, pa.array(words, pa.string()))
+            yield done
 
     return run
 
@@ -242,15 +250,19 @@ def _free(df: DataFrame, name: str) -> str:
     return name
 
 
-def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with ``text`` replaced by ``out``, the token ids (array<int>). Other columns pass through; one named ``out`` is
-    replaced."""
-    if out in df.columns and out != text:
-        df = df.drop(out)
+def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with ``text`` replaced by ``out``, the token ids (array<int>), and with ``decoded``, the text of those ids, if
+    named: decoding in the same task reuses the loaded vocabulary. Other columns pass through; ones named ``out`` or
+    ``decoded`` are replaced."""
+    for name in (out, decoded):
+        if name is not None and name in df.columns and name != text:
+            df = df.drop(name)
     hidden = _free(df, "_bpe_text")
     rows = df.withColumnRenamed(text, hidden) if hidden != text else df
-    schema = T.StructType([f for f in rows.schema.fields if f.name != hidden] + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(_encoder(path, hidden, out), schema)
+    fields = [f for f in rows.schema.fields if f.name != hidden] + [T.StructField(out, T.ArrayType(T.IntegerType()))]
+    if decoded is not None:
+        fields.append(T.StructField(decoded, T.StringType()))
+    return rows.mapInArrow(_encoder(path, hidden, out, decoded), T.StructType(fields))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -85,9 +85,8 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_backtrack_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded by backtracking over longest matches, decoded through the offset table, both as digests."""
     path = public_tokenizers.path(WORD_BPE)
-    encoded = backtrack_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path)
-    decoded = backtrack_bpe.decode(encoded, path)
-    digested = backtrack_bpe.with_digests(decoded, "ids", "ids_sha256")
+    encoded = backtrack_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path, decoded="decoded")
+    digested = backtrack_bpe.with_digests(encoded, "ids", "ids_sha256")
     return digested.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

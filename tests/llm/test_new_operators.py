@@ -93,7 +93,9 @@ def test_backtrack_bpe_equals_library(spark, table, edge, empty, word_tokenizer)
         texts = [r["text"] for r in rows.select("text").collect()]
         got = backtrack_bpe.decode(backtrack_bpe.encode(rows, path), path)
         assert set(rows.columns) - {"text"} <= set(got.columns)
+        both = backtrack_bpe.encode(rows, path, decoded="decoded").select("doc_id", "ids", "decoded").collect()
         got = got.select("doc_id", "ids", "decoded").collect()
+        assert sorted(both, key=str) == sorted(got, key=str)
         assert len(got) == len(texts)
         want = sorted((word_tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts), key=str)
         assert sorted((r["ids"] for r in got), key=str) == want
