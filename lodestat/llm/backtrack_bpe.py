@@ -84,6 +84,7 @@ class Vocabulary:
         self.blob = b"".join(texts)
         self.tokenizer = Tokenizer.from_file(path)
         self.suffix = suffix
+        self.split = _fast_split(spec.get("pre_tokenizer"))
 
     @staticmethod
     def _units(token: str, suffix: str) -> str:
@@ -163,10 +164,17 @@ class Vocabulary:
         return tokens
 
     def decode(self, ids: np.ndarray) -> bytes:
-        """Token texts joined by one space, through the offset table."""
-        starts, stops = self.offsets[ids], self.offsets[ids + 1]
-        blob = self.blob
-        return b" ".join(blob[s:e] for s, e in zip(starts.tolist(), stops.tolist()))
+        """Token texts joined by one space, gathered through the offset table at once."""
+        if len(ids) == 0:
+            return b""
+        starts, lengths = self.offsets[ids], self.offsets[ids + 1] - self.offsets[ids]
+        width = lengths + 1  # each text and the space after it
+        ends = np.cumsum(width)
+        place = np.arange(int(ends[-1])) - np.repeat(ends - width, width)
+        source = np.repeat(starts, width) + place
+        out = np.frombuffer(self.blob, np.uint8)[np.minimum(source, len(self.blob) - 1)].copy()
+        out[ends - 1] = 0x20
+        return out[:-1].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -187,7 +195,11 @@ def encode_text(v: Vocabulary, text: str, memo: dict[str, list[int]]) -> list[in
             ids.append(special)
             continue
         normal = tok.normalizer.normalize_str(part) if tok.normalizer else part
-        for word, _ in tok.pre_tokenizer.pre_tokenize_str(normal) if tok.pre_tokenizer else [(normal, None)]:
+        if v.split is not None:
+            words = v.split(normal)
+        else:
+            words = [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal)] if tok.pre_tokenizer else [normal]
+        for word in words:
             got = memo.get(word)
             if got is None:
                 if len(memo) >= MEMO_WORDS:
@@ -197,6 +209,42 @@ def encode_text(v: Vocabulary, text: str, memo: dict[str, list[int]]) -> list[in
     return ids
 
 
+def _byte_chars() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for 256, 257, ... in byte order."""
+    keep = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    table, extra = {}, 0
+    for b in range(256):
+        if b in keep:
+            table[b] = chr(b)
+        else:
+            table[b] = chr(256 + extra)
+            extra += 1
+    return table
+
+
+def _fast_split(spec: dict | None):
+    """The file's pre-tokeniser when it is a kept-matches split followed by a byte-level map without its own pattern:
+    matches of the pattern (white space as the Unicode property, as the library's regex engine reads it), each mapped
+    byte by byte. Any other pre-tokeniser is left to the library."""
+    parts = (spec or {}).get("pretokenizers") if (spec or {}).get("type") == "Sequence" else None
+    if not parts or len(parts) != 2:
+        return None
+    split, level = parts
+    if split.get("type") != "Split" or not split.get("invert") or split.get("behavior") != "Removed" or "Regex" not in split.get("pattern", {}):
+        return None
+    if level.get("type") != "ByteLevel" or level.get("use_regex") or level.get("add_prefix_space"):
+        return None
+    import regex
+
+    pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+    table = str.maketrans({chr(b): c for b, c in _byte_chars().items()})
+
+    def run(text: str) -> list[str]:
+        return [w.encode("utf-8").decode("latin-1").translate(table) for w in pattern.findall(text)]
+
+    return run
+
+
 def _split_special(tok, text: str):
     specials = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
     if not specials or not any(s in text for s in specials):
