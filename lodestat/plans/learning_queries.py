@@ -27,6 +27,7 @@ from lodestat.operators import moments as mo
 from lodestat.operators import neighbours as nn
 from lodestat.operators import prep as pr
 from lodestat.operators import projection as rp
+from lodestat.operators import sparse_lasso as sp
 from lodestat.operators import reduction as re
 from lodestat.operators import selection as se
 from lodestat.operators.estimators import DescentRegressor
@@ -348,13 +349,11 @@ def rbf_svr(spark, folder):
 
 @query("reg16_sparse_lasso")
 def sparse_lasso(spark, folder):
+    """Lasso of document length on the counts of all dictionary words: screening, covariance descent, optimality checks."""
     words, counts = _bow(spark, folder)
-    cells = counts.filter(F.col("pos") < 500)
-    rows = pr.rows_from_coo(cells.select("doc_id", "pos", "cnt"), "doc_id", "pos", "cnt", 500, "features")
     y = _t(spark, folder, "documents").select("doc_id", (F.col("n_chars") / 1000.0).alias("y"))
-    model = li.lasso_vectors(rows.join(y, "doc_id"), "y", "features", 0.05)
-    names = [(i, float(w)) for i, w in enumerate(model.coefficients.toArray()) if w != 0]
-    found = spark.createDataFrame(names, "pos bigint, estimate double")
+    model = sp.fit(counts.select("doc_id", "pos", "cnt"), y, 0.05)
+    found = model.table(spark)  # at most one row per dictionary word
     return words.select("word", "pos").join(F.broadcast(found), "pos").withColumn("estimate", F.round("estimate", 4))
 
 
