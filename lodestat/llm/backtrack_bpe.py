@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -84,7 +85,9 @@ class Vocabulary:
         self.blob = b"".join(texts)
         self.tokenizer = Tokenizer.from_file(path)
         self.suffix = suffix
-        self.split = _fast_split(spec.get("pre_tokenizer"))
+        self.split, self.to_bytes = _fast_split(spec.get("pre_tokenizer"))
+        self.normalise = _fast_normaliser(spec.get("normalizer"))
+        self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
 
     @staticmethod
     def _units(token: str, suffix: str) -> str:
@@ -190,22 +193,26 @@ def encode_text(v: Vocabulary, text: str, memo: dict[str, list[int]]) -> list[in
     """Special strings split out as the library does; each other part normalised, pre-tokenised and encoded by words."""
     tok = v.tokenizer
     ids: list[int] = []
-    for part, special in _split_special(tok, text):
+    for part, special in _split_special(v.specials, text):
         if special is not None:
             ids.append(special)
             continue
-        normal = tok.normalizer.normalize_str(part) if tok.normalizer else part
+        if v.normalise is not None:
+            normal = v.normalise(part)
+        else:
+            normal = tok.normalizer.normalize_str(part) if tok.normalizer else part
         if v.split is not None:
-            words = v.split(normal)
+            words = v.split(normal)  # as in the text; mapped to byte-level symbols only when not remembered
         else:
             words = [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal)] if tok.pre_tokenizer else [normal]
+        get, extend = memo.get, ids.extend
         for word in words:
-            got = memo.get(word)
+            got = get(word)
             if got is None:
                 if len(memo) >= MEMO_WORDS:
                     memo.clear()
-                got = memo[word] = v.encode_word(word)
-            ids.extend(got)
+                got = memo[word] = v.encode_word(v.to_bytes(word))
+            extend(got)
     return ids
 
 
@@ -228,25 +235,51 @@ def _fast_split(spec: dict | None):
     byte by byte. Any other pre-tokeniser is left to the library."""
     parts = (spec or {}).get("pretokenizers") if (spec or {}).get("type") == "Sequence" else None
     if not parts or len(parts) != 2:
-        return None
+        return None, _same
     split, level = parts
     if split.get("type") != "Split" or not split.get("invert") or split.get("behavior") != "Removed" or "Regex" not in split.get("pattern", {}):
-        return None
+        return None, _same
     if level.get("type") != "ByteLevel" or level.get("use_regex") or level.get("add_prefix_space"):
-        return None
+        return None, _same
     import regex
 
     pattern = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
     table = str.maketrans({chr(b): c for b, c in _byte_chars().items()})
 
-    def run(text: str) -> list[str]:
-        return [w.encode("utf-8").decode("latin-1").translate(table) for w in pattern.findall(text)]
+    def to_bytes(word: str) -> str:
+        return word.encode("utf-8").decode("latin-1").translate(table)
+
+    return pattern.findall, to_bytes
+
+
+def _fast_normaliser(spec: dict | None):
+    """The file's normaliser when it is NFC, white-space runs to one space, lower case: the same steps in one pass of the
+    standard library. Capital sigma is lowered first, since the library's lower case has no final form; any other
+    normaliser is left to the library."""
+    steps = (spec or {}).get("normalizers") if (spec or {}).get("type") == "Sequence" else None
+    kinds = [s.get("type") for s in steps or []]
+    if kinds != ["NFC", "Replace", "Lowercase"]:
+        return None
+    replace = steps[1]
+    if replace.get("pattern", {}).get("Regex") != r"\s+" or replace.get("content") != " ":
+        return None
+    import unicodedata
+
+    import regex
+
+    space = regex.compile(r"\p{White_Space}+")
+
+    def run(text: str) -> str:
+        return space.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ").lower()
 
     return run
 
 
-def _split_special(tok, text: str):
-    specials = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
+def _same(word: str) -> str:
+    return word
+
+
+def _split_special(specials: dict[str, int], text: str):
     if not specials or not any(s in text for s in specials):
         yield text, None
         return
@@ -269,10 +302,17 @@ def _encoder(path: str, column: str, out: str, decoded: str | None):
         memo = _memo.setdefault(path, {})
         for slab in slabs(batches, column, SLAB):
             texts = pc.fill_null(slab.column(column).cast(pa.string()), "").to_pylist()
-            lists = [encode_text(v, t, memo) for t in texts]
-            done = slab.drop_columns([column]).append_column(out, pa.array(lists, pa.list_(pa.int32())))
+            flat, lengths = array("i"), np.zeros(len(texts), np.int64)
+            for i, t in enumerate(texts):
+                ids = encode_text(v, t, memo)
+                flat.extend(ids)
+                lengths[i] = len(ids)
+            values = np.frombuffer(flat, np.int32) if len(flat) else np.zeros(0, np.int32)
+            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            done = slab.drop_columns([column]).append_column(out, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
             if decoded is not None:
-                words = [v.decode(np.asarray(ids, np.int64)).decode("utf-8", "replace") for ids in lists]
+                wide = values.astype(np.int64)
+                words = [v.decode(wide[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in range(len(texts))]
                 done = done.append_column(decoded, pa.array(words, pa.string()))
             yield done
 
