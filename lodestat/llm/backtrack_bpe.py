@@ -166,6 +166,28 @@ class Vocabulary:
                 break
         return tokens
 
+    def decode_many(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The texts of many id lists (``offsets`` into ``ids``) by one gather over the offset table."""
+        rows = len(offsets) - 1
+        if len(ids) == 0:
+            return pa.array([""] * rows, pa.string())
+        lengths = self.offsets[ids + 1] - self.offsets[ids]
+        last = np.zeros(len(ids), bool)
+        counts = np.diff(offsets)
+        last[(offsets[1:] - 1)[counts > 0]] = True
+        width = lengths + (~last)  # a space after every token but a list's last
+        ends = np.cumsum(width)
+        place = np.arange(int(ends[-1])) - np.repeat(ends - width, width)
+        source = np.repeat(self.offsets[ids], width) + place
+        out = np.frombuffer(self.blob, np.uint8)[np.minimum(source, len(self.blob) - 1)].copy()
+        out[(ends - 1)[~last]] = 0x20
+        bounds = np.concatenate([[0], ends])[offsets].astype(np.int64)
+        raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(bounds), pa.py_buffer(out)])
+        texts = [b.decode("utf-8", "replace") for b in raw.to_pylist()] if not _valid_utf8(out) else None
+        if texts is not None:
+            return pa.array(texts, pa.string())
+        return raw.cast(pa.large_string()).cast(pa.string())
+
     def decode(self, ids: np.ndarray) -> bytes:
         """Token texts joined by one space, gathered through the offset table at once."""
         if len(ids) == 0:
@@ -275,6 +297,14 @@ def _fast_normaliser(spec: dict | None):
     return run
 
 
+def _valid_utf8(data: np.ndarray) -> bool:
+    try:
+        data.tobytes().decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 def _same(word: str) -> str:
     return word
 
@@ -311,9 +341,7 @@ def _encoder(path: str, column: str, out: str, decoded: str | None):
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             done = slab.drop_columns([column]).append_column(out, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
             if decoded is not None:
-                wide = values.astype(np.int64)
-                words = [v.decode(wide[offsets[i] : offsets[i + 1]]).decode("utf-8", "replace") for i in range(len(texts))]
-                done = done.append_column(decoded, pa.array(words, pa.string()))
+                done = done.append_column(decoded, v.decode_many(values.astype(np.int64), offsets))
             yield done
 
     return run
