@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
+from itertools import chain
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from lodestat.llm.batches import slabs
 
-MEMO_WORDS = 100_000  # encoded words a worker remembers before it starts afresh; only speed depends on it
+MEMO_WORDS = 100_000  # encoded words in each of the two generations a worker remembers; only speed depends on it
 MEMO_PAIRS = 200_000  # compatibility verdicts a worker remembers before it starts afresh
 SLAB = 512 << 10  # text bytes encoded at once in a task
 END_MARK = 0x10000  # a word's last symbol, with the word-end suffix, is written as this code point plus the symbol's
@@ -208,10 +209,34 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-_memo: dict[str, dict[str, list[int]]] = {}
+class WordMemo:
+    """Ids of words seen lately, in two generations of at most ``MEMO_WORDS`` each: when the young one is full it becomes
+    the old one and the former old one is dropped; a word found in the old one moves back to the young one. So frequent
+    words stay while memory stays bounded, and only speed depends on it."""
 
+    def __init__(self, size: int = MEMO_WORDS):
+        self.size, self.young, self.old = size, {}, {}
 
-def encode_text(v: Vocabulary, text: str, memo: dict[str, list[int]]) -> list[int]:
+    def get(self, word: str):
+        return self.young.get(word)
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def fetch(self, v: "Vocabulary", word: str) -> list[int]:
+        got = self.old.get(word)
+        if got is None:
+            got = v.encode_word(v.to_bytes(word))
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+        self.young[word] = got
+        return got
+
+
+_memo: dict[str, WordMemo] = {}
+
+
+def encode_text(v: Vocabulary, text: str, memo: WordMemo) -> list[int]:
     """Special strings split out as the library does; each other part normalised, pre-tokenised and encoded by words."""
     tok = v.tokenizer
     ids: list[int] = []
@@ -227,14 +252,12 @@ def encode_text(v: Vocabulary, text: str, memo: dict[str, list[int]]) -> list[in
             words = v.split(normal)  # as in the text; mapped to byte-level symbols only when not remembered
         else:
             words = [w for w, _ in tok.pre_tokenizer.pre_tokenize_str(normal)] if tok.pre_tokenizer else [normal]
-        get, extend = memo.get, ids.extend
-        for word in words:
-            got = get(word)
-            if got is None:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                got = memo[word] = v.encode_word(v.to_bytes(word))
-            extend(got)
+        found = list(map(memo.young.get, words))  # hits looked up in one pass; misses filled below
+        if None in found:
+            for i, got in enumerate(found):
+                if got is None:
+                    found[i] = memo.fetch(v, words[i])
+        ids.extend(chain.from_iterable(found))
     return ids
 
 
@@ -329,7 +352,7 @@ def _split_special(specials: dict[str, int], text: str):
 def _encoder(path: str, column: str, out: str, decoded: str | None):
     def run(batches):
         v = vocabulary(path)
-        memo = _memo.setdefault(path, {})
+        memo = _memo.setdefault(path, WordMemo())
         for slab in slabs(batches, column, SLAB):
             texts = pc.fill_null(slab.column(column).cast(pa.string()), "").to_pylist()
             flat, lengths = array("i"), np.zeros(len(texts), np.int64)

@@ -121,6 +121,17 @@ def test_compatibility_is_symmetric_with_bpe(word_tokenizer):
         assert [v.text[t] for t in v.encode_word(word)] == [t.value for t in word_tokenizer.model.tokenize(word)]
 
 
+
+def test_word_memo_is_bounded_and_changes_no_ids(word_tokenizer):
+    """A memo of two words a generation holds at most four and gives the same ids as a fresh encoding of every text."""
+    v = backtrack_bpe.vocabulary(public_tokenizers.path(registered.WORD_BPE))
+    texts = ["the cat sat on the mat", "", "mat cat the the the", "Σίσυφος and the hill", "cat " * 50]
+    small = backtrack_bpe.WordMemo(2)
+    for text in texts:
+        assert backtrack_bpe.encode_text(v, text, small) == backtrack_bpe.encode_text(v, text, backtrack_bpe.WordMemo())
+        assert len(small) <= 4
+        assert backtrack_bpe.encode_text(v, text, small) == word_tokenizer.encode(text, add_special_tokens=False).ids
+
 def brute_variants(rows):
     cnt = Counter()
     for d, t in rows:
