@@ -797,11 +797,12 @@ def function_per_record(spark, folder):
 def fold(spark, folder):
     """A user fold with zero, per-row step and combine: partial results per task, then one sum."""
     def partial(frames):
-        zero = pd.DataFrame({"total": [], "n": []})
+        zero = None
         for f in frames:
             step = f.groupby("event_type")["value"].agg(total="sum", n="count")
-            zero = zero.add(step, fill_value=0) if len(zero) else step
-        yield zero.rename_axis("event_type").reset_index().astype({"n": "int64"})
+            zero = step if zero is None else zero.add(step, fill_value=0)
+        if zero is not None and len(zero):  # a task without rows has no partial result
+            yield zero.rename_axis("event_type").reset_index().astype({"n": "int64"})
 
     parts = _t(spark, folder, "events").select("event_type", "value").mapInPandas(partial, "event_type string, total double, n bigint")
     return parts.groupBy("event_type").agg(F.round(F.sum("total"), 2).alias("total"), F.sum("n").alias("n"))
