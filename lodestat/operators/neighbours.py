@@ -7,13 +7,14 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lodestat.functions.blocks import as_matrix, smallest_k, squared_distances
 from lodestat.operators.windows import top_k_per
-from lodestat.session import BROADCAST_ROWS, fits
+from lodestat.session import BROADCAST_ROWS, cut_lineage, fits
 
 # Similarities are rounded before ranking: the order in which a sum is taken leaves noise in the
 # last digits, and without this equal documents would be ranked by that noise.
@@ -22,6 +23,10 @@ SALTS = 16
 QUERY_CELLS = 16_000_000  # largest query matrix a task may hold
 TEST_BLOCK = 1_024  # rows of the asking side per block
 TRAIN_BLOCK = 8_192  # rows of the answering side per block
+LSH_BLOCK = 16_384  # rows of either side per block of a hash bucket
+LSH_ROWS = 512  # asking rows whose distances to a block are held at a time
+LSH_PAIRS = 1_000_000  # pairs whose distances are added up exactly at a time
+SLACK = 1e-9  # more than the noise of a squared distance made by a matrix product
 
 
 def similarity(
@@ -265,7 +270,7 @@ def knn_lsh(
     """Approximate neighbours within ``radius`` by random-projection hashing, for inputs too large
     for the exact operator."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
 
     def side(df: DataFrame, *more: str) -> DataFrame:
         return df.select(F.col(id_col).alias("id"), *more, array_to_vector(F.col(vec).cast("array<double>")).alias("f"))
@@ -275,8 +280,67 @@ def knn_lsh(
     model = BucketedRandomProjectionLSH(
         inputCol="f", outputCol="h", bucketLength=bucket, numHashTables=tables, seed=seed
     ).fit(b)
-    near = model.approxSimilarityJoin(a, b, radius, distCol="distance").select(
-        F.col("datasetA.id").alias("test_id"), F.col("datasetB.id").alias("id"),
-        F.col("datasetB.label").alias("label"), "distance",
-    )
+
+    def hashed(df: DataFrame, *more: str) -> DataFrame:
+        codes = F.transform("h", lambda x: vector_to_array(x)[0])
+        return model.transform(df).select("id", *more, vector_to_array("f").alias("v"), codes.alias("h")).distinct()
+
+    near = _bucket_pairs(hashed(a), hashed(b, "label"), k, radius)
     return top_k_per(near, "test_id", [F.col("distance"), F.col("id")], k)
+
+
+def _bucket_pairs(asked: DataFrame, known: DataFrame, k: int, radius: float) -> DataFrame:
+    """(test_id, id, label, distance) of pairs that share a bucket in some table and are nearer than ``radius``; of every
+    bucket at most k per asking row, which hold the k nearest of all.
+
+    A bucket may hold most of the rows, so its pairs are never written out: both sides are cut into blocks of a bounded size
+    by a hash of the row, and a pair of blocks lets only its best pairs out. A pair is looked at in the first table that
+    brings it together, so it is found once.
+    """
+    def dealt(df: DataFrame, own: str, size: int) -> DataFrame:
+        spread = F.pmod(F.xxhash64("id", "v"), F.lit(max(1, -(-df.count() // size)))).cast("int")
+        return cut_lineage(df.withColumn(own, spread)).select("*", F.posexplode("h").alias("t", "bucket"))
+
+    sides = dealt(asked, "qb", LSH_BLOCK), dealt(known, "tb", LSH_BLOCK)
+    blocks = [df.select(*[F.col(c).alias(c) for c in ("t", "bucket", own)]).distinct() for df, own in zip(sides, ("qb", "tb"))]
+    left = sides[0].join(blocks[1], ["t", "bucket"])  # one row per block of the other side that has the bucket
+    right = sides[1].join(blocks[0], ["t", "bucket"])
+    types = [asked.schema["id"].dataType, known.schema["id"].dataType, known.schema["label"].dataType]
+    names = ["test_id", "id", "label", "distance"]
+    schema = ", ".join(f"{n} {t}" for n, t in zip(names, [*(t.simpleString() for t in types), "double"]))
+    kinds = [to_arrow_type(t) for t in types]
+
+    def nearest(x: pa.Table, y: pa.Table) -> pa.Table:
+        found = [[], [], []]
+        if x.num_rows and y.num_rows:
+            y = y.take(pc.sort_indices(y.column("id"), null_placement="at_start"))  # equal distances go by id
+            vx, vy, hx, hy = (as_matrix(c) for c in (x.column("v"), y.column("v"), x.column("h"), y.column("h")))
+            table = x.column("t")[0].as_py()
+            for begin in range(0, len(vx), LSH_ROWS):
+                rows = slice(begin, begin + LSH_ROWS)
+                d2 = squared_distances(vx[rows], vy)
+                for earlier in range(table):
+                    d2[hx[rows, earlier][:, None] == hy[:, earlier][None, :]] = np.inf
+                d2[d2 > radius * radius * (1 + 1e-9) + SLACK] = np.inf
+                cut = np.partition(d2, min(k, len(vy)) - 1, axis=1)[:, min(k, len(vy)) - 1]
+                r, c = np.nonzero(np.isfinite(d2) & (d2 <= cut[:, None] + SLACK))
+                for start in range(0, len(r), LSH_PAIRS):
+                    i, j = r[start : start + LSH_PAIRS] + begin, c[start : start + LSH_PAIRS]
+                    total = np.zeros(len(i))
+                    for m in range(vx.shape[1]):  # term by term, as the join by buckets adds them
+                        total += (vx[i, m] - vy[j, m]) ** 2
+                    for kept, part in zip(found, (i, j, np.sqrt(total))):
+                        kept.append(part)
+        i, j, d = (np.concatenate(part) if part else np.zeros(0) for part in found)
+        inside = d < radius
+        i, j, d = i[inside].astype(np.int64), j[inside].astype(np.int64), d[inside]
+        order = np.lexsort((j, d, i))
+        i, j, d = i[order], j[order], d[order]
+        first = np.searchsorted(i, i)  # place of the row's nearest
+        best = np.arange(len(i)) - first < k
+        i, j, d = i[best], j[best], d[best]
+        columns = [x.column("id").take(pa.array(i)).cast(kinds[0]), y.column("id").take(pa.array(j)).cast(kinds[1])]
+        return pa.table([*columns, y.column("label").take(pa.array(j)).cast(kinds[2]), pa.array(d)], names=names)
+
+    keys = ["t", "bucket", "qb", "tb"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, schema)
