@@ -66,16 +66,17 @@ def rbf_svr(
     """Epsilon-insensitive regression: |w|^2 / 2 + C sum(max(0, |e| - eps)).
 
     Full-batch subgradient steps on the standardised target, averaged over the second half. Each
-    step is one map over the features and a sum of per-task gradients; a task ships dim + 1 numbers.
+    step is one map over the rows and a sum of per-task gradients; a task ships dim + 1 numbers. The rows are kept as given
+    and their features made anew in each step: ``dim`` features are many times the size of the vector they come from.
     """
     n, mean, std = df.agg(F.count(y), F.avg(y), F.stddev_pop(y)).first()
     std = float(std) or 1.0
     target = (F.col(y).cast("double") - float(mean)) / std
-    rows = df.filter(F.col(y).isNotNull()).select(target.alias("y"), rbf_features(vec, gamma, dim, seed).alias("z")).persist()
+    rows = df.filter(F.col(y).isNotNull()).select(target.alias("y"), F.col(vec).alias("x")).persist()
     lam, tube = std / (C * n), eps / std
     w, b, avg_w, avg_b, kept = np.zeros(dim), 0.0, np.zeros(dim), 0.0, 0
     for t in range(1, steps + 1):
-        g = _tube_gradient(rows, w, b, tube, dim)
+        g = _tube_gradient(rows, w, b, tube, dim, gamma, seed)
         eta = min(1.0 / (lam * t), 2.0 / np.sqrt(t))
         w = w - eta * (lam * w - g[:dim] / n)
         b = b + eta * g[dim] / n
@@ -85,13 +86,13 @@ def rbf_svr(
     return KernelFit(std * avg_w / kept, float(mean) + std * avg_b / kept, gamma, dim, seed)
 
 
-def _tube_gradient(rows: DataFrame, w: np.ndarray, b: float, eps: float, dim: int) -> np.ndarray:
+def _tube_gradient(rows: DataFrame, w: np.ndarray, b: float, eps: float, dim: int, gamma: float, seed: int) -> np.ndarray:
     def partial(batches):
         acc = np.zeros(dim + 1)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            z = as_matrix(batch.column("z"))
+            z = _features(as_matrix(batch.column("x")), gamma, dim, seed)
             e = batch.column("y").to_numpy(zero_copy_only=False) - z @ w - b
             side = np.sign(e) * (np.abs(e) > eps)
             acc[:dim] += side @ z
