@@ -14,12 +14,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from lodestat.functions.blocks import as_matrix, smallest_k, squared_distances
 from lodestat.operators.windows import top_k_per
-from lodestat.session import BROADCAST_ROWS, cut_lineage, fits
+from lodestat.session import BROADCAST_ROWS, cut_lineage
 
 # Similarities are rounded before ranking: the order in which a sum is taken leaves noise in the
 # last digits, and without this equal documents would be ranked by that noise.
 RANK_DIGITS = 9
 SALTS = 16
+SCAN_DOCS = 256  # documents whose scores a task holds at a time
 QUERY_CELLS = 16_000_000  # largest query matrix a task may hold
 TEST_BLOCK = 1_024  # rows of the asking side per block
 TRAIN_BLOCK = 8_192  # rows of the answering side per block
@@ -35,23 +36,23 @@ def similarity(
 ) -> DataFrame:
     """Similarity of every query to every document that shares a word with it.
 
-    Small query batches are broadcast: the corpus table is not shuffled, and because it is already
-    distributed by document the sum per (query, document) needs no shuffle either. Larger batches
-    join on the position with the corpus side salted, since a frequent word is a hot key.
+    A small query batch becomes one bounded matrix that every task holds; a document, packed to one record, meets all
+    queries at once, so no task keeps sums for all its (query, document) pairs. Larger batches join on the position with
+    the corpus side salted, since a frequent word is a hot key.
     """
+    if metric not in ("dot", "cosine"):
+        raise ValueError(f"unknown metric {metric}")
+    batch = _query_matrix(queries, query, metric)
+    if batch is not None:
+        return _all_pairs(batch, queries, corpus, query, doc, value, metric)
     q = queries.select(F.col(query), "pos", F.col("weight").alias("_q"))
     c = corpus.select(F.col(doc), "pos", F.col(value).alias("_c"))
     if metric == "cosine":
         q = _unit(q, query, "_q")
         c = _unit(c, doc, "_c")
-    elif metric != "dot":
-        raise ValueError(f"unknown metric {metric}")
-    if fits(q, BROADCAST_ROWS):
-        pairs = c.join(F.broadcast(q), "pos")
-    else:
-        salted = c.withColumn("_salt", F.pmod(F.xxhash64(doc), F.lit(SALTS)))
-        spread_q = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-        pairs = salted.join(spread_q, ["pos", "_salt"])
+    salted = c.withColumn("_salt", F.pmod(F.xxhash64(doc), F.lit(SALTS)))
+    spread_q = q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    pairs = salted.join(spread_q, ["pos", "_salt"])
     return pairs.groupBy(query, doc).agg(
         F.round(F.sum(F.col("_q") * F.col("_c")), RANK_DIGITS).alias("similarity")
     )
@@ -79,29 +80,69 @@ def nearest_documents(
     record (its entries are bounded by the dictionary), scored against all queries at once, and a
     task lets only its own k best documents per query out. Larger batches take the declarative way.
     """
-    asked = queries.select(F.col(query).alias("q"), "pos", "weight").limit(BROADCAST_ROWS + 1).toArrow()
+    batch = _query_matrix(queries, query, metric) if metric in ("dot", "cosine") else None
+    if batch is None:
+        return knn(similarity(queries, corpus, query, doc, value, metric), query, doc, k)
+    names, packed = batch[0], _packed(corpus, doc, value)
+
+    def scan(batches):
+        best_s, best_d = np.zeros((len(names), 0)), None  # ids may be of any type that sorts
+        for docs, scores in _scored(batches, *batch, metric):
+            ids = docs.to_numpy(zero_copy_only=False)
+            best_s = np.hstack([best_s, scores])
+            spread_ids = np.broadcast_to(ids, scores.shape)
+            best_d = spread_ids if best_d is None else np.hstack([best_d, spread_ids])
+            place = np.unique(best_d, return_inverse=True)[1].reshape(best_d.shape)
+            order = np.lexsort((place, -best_s), axis=1)[:, :k]
+            best_s, best_d = np.take_along_axis(best_s, order, 1), np.take_along_axis(best_d, order, 1)
+        if best_d is None:
+            return
+        rows, cols = np.nonzero(np.isfinite(best_s))
+        yield pa.RecordBatch.from_arrays(
+            [names.take(pa.array(rows)), pa.array(best_d[rows, cols], id_type), pa.array(best_s[rows, cols])],
+            names=[query, doc, "similarity"],
+        )
+
+    kinds, id_kind = queries.schema[query].dataType.simpleString(), corpus.schema[doc].dataType.simpleString()
+    id_type = to_arrow_type(corpus.schema[doc].dataType)
+    found = packed.mapInArrow(scan, f"{query} {kinds}, {doc} {id_kind}, similarity double")
+    return top_k_per(found, query, [F.col("similarity").desc(), F.col(doc)], k)
+
+
+def _query_matrix(queries: DataFrame, query: str, metric: str) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Query ids, ascending positions, weights and presence by (position, query); none if the batch is too large for a task."""
+    asked = queries.select(F.col(query).alias("q"), "pos", F.col("weight").cast("double").alias("weight")).limit(BROADCAST_ROWS + 1).toArrow()
+    asked = asked.filter(pc.is_valid(asked.column("pos")))
     names = asked.column("q").unique()
     places = np.unique(asked.column("pos").to_numpy())
-    if asked.num_rows > BROADCAST_ROWS or len(names) * max(len(places), 1) > QUERY_CELLS or metric not in ("dot", "cosine"):
-        return knn(similarity(queries, corpus, query, doc, value, metric), query, doc, k)
+    if asked.num_rows > BROADCAST_ROWS or len(names) * max(len(places), 1) > QUERY_CELLS:
+        return None
     matrix = np.zeros((len(places), len(names)))
     shared = np.zeros((len(places), len(names)), bool)
-    at = np.searchsorted(places, asked.column("pos").to_numpy()), asked.column("q").combine_chunks().dictionary_encode().indices.to_numpy()
-    matrix[at], shared[at] = asked.column("weight").to_numpy(), True
+    who = pc.index_in(asked.column("q"), names).to_numpy()
+    at, weights = (np.searchsorted(places, asked.column("pos").to_numpy()), who), asked.column("weight").to_numpy()
+    np.add.at(matrix, at, weights)
+    shared[at] = True
     if metric == "cosine":
-        lengths = np.sqrt((matrix * matrix).sum(0))
+        lengths = np.sqrt(np.bincount(who, weights * weights, len(names)))
         matrix = matrix / np.where(lengths > 0, lengths, 1.0)
-    packed = (
+    return names, places, matrix, shared
+
+
+def _packed(corpus: DataFrame, doc: str, value: str) -> DataFrame:
+    """One record (d, positions p, weights v) per document."""
+    return (
         corpus.groupBy(F.col(doc).alias("d"))
         .agg(F.collect_list(F.struct(F.col("pos").alias("p"), F.col(value).cast("double").alias("v"))).alias("e"))
         .select("d", F.col("e.p").alias("p"), F.col("e.v").alias("v"))
     )
 
-    def scan(batches):
-        best_s, best_d = np.zeros((len(names), 0)), None  # ids may be of any type that sorts
-        for batch in batches:
-            if batch.num_rows == 0 or len(places) == 0:
-                continue
+
+def _scored(batches, names: pa.Array, places: np.ndarray, matrix: np.ndarray, shared: np.ndarray, metric: str):
+    """(document ids, scores by query and document) of SCAN_DOCS documents at a time; -inf where no word is shared."""
+    for whole in batches:
+        for start in range(0, whole.num_rows if len(places) else 0, SCAN_DOCS):
+            batch = whole.slice(start, SCAN_DOCS)
             flat = batch.column("p").flatten().to_numpy(zero_copy_only=False)
             weights = batch.column("v").flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(batch.column("p").value_lengths().to_numpy(zero_copy_only=False))
@@ -117,25 +158,21 @@ def nearest_documents(
                         found = found / (np.sqrt((w * w).sum()) or 1.0)
                     scores[:, r] = np.where(shared[mine].any(0), np.round(found, RANK_DIGITS), -np.inf)
                 begin = end
-            ids = batch.column("d").to_numpy(zero_copy_only=False)
-            best_s = np.hstack([best_s, scores])
-            spread_ids = np.broadcast_to(ids, scores.shape)
-            best_d = spread_ids if best_d is None else np.hstack([best_d, spread_ids])
-            place = np.unique(best_d, return_inverse=True)[1].reshape(best_d.shape)
-            order = np.lexsort((place, -best_s), axis=1)[:, :k]
-            best_s, best_d = np.take_along_axis(best_s, order, 1), np.take_along_axis(best_d, order, 1)
-        if best_d is None:
-            return
-        rows, cols = np.nonzero(np.isfinite(best_s))
-        yield pa.RecordBatch.from_arrays(
-            [names.take(pa.array(rows)), pa.array(best_d[rows, cols], id_type), pa.array(best_s[rows, cols])],
-            names=[query, doc, "similarity"],
-        )
+            yield batch.column("d"), scores
+
+
+def _all_pairs(batch: tuple, queries: DataFrame, corpus: DataFrame, query: str, doc: str, value: str, metric: str) -> DataFrame:
+    names = batch[0]
+
+    def scan(batches):
+        for docs, scores in _scored(batches, *batch, metric):
+            cols, rows = np.nonzero(np.isfinite(scores.T))
+            yield pa.RecordBatch.from_arrays(
+                [names.take(pa.array(rows)), docs.take(pa.array(cols)), pa.array(scores[rows, cols])], names=[query, doc, "similarity"]
+            )
 
     kinds, id_kind = queries.schema[query].dataType.simpleString(), corpus.schema[doc].dataType.simpleString()
-    id_type = to_arrow_type(corpus.schema[doc].dataType)
-    found = packed.mapInArrow(scan, f"{query} {kinds}, {doc} {id_kind}, similarity double")
-    return top_k_per(found, query, [F.col("similarity").desc(), F.col(doc)], k)
+    return _packed(corpus, doc, value).mapInArrow(scan, f"{query} {kinds}, {doc} {id_kind}, similarity double")
 
 
 def vote(neighbours: DataFrame, query: str, label: str) -> DataFrame:
