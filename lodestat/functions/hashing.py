@@ -7,10 +7,17 @@ fold and sample below gives the same rows after a retry or a repartition.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+try:
+    from _md5 import md5  # the interpreter's own: half the time of a short text under hashlib's OpenSSL context
+except ImportError:
+    from hashlib import md5
+
 UNIT_RANGE = 2**32
 
 
@@ -39,3 +46,14 @@ def hash_below(key: str | Column, seed: int, frac: float) -> Column:
     if frac >= 1.0:
         return F.lit(True)
     return F.substring(hash_hex(key, seed), 1, 8) < F.lit(f"{math.ceil(frac * UNIT_RANGE):08x}")
+
+
+def drawn_below(keys: Sequence[str | None], seeds: Sequence[int], frac: float) -> np.ndarray:
+    """``hash_below`` of many keys (texts) under many seeds inside a task: a (keys, seeds) matrix. A null key is never drawn."""
+    if frac >= 1.0:
+        return np.ones((len(keys), len(seeds)), bool)
+    starts = [f"{seed}:".encode() for seed in seeds]
+    texts = [(key or "").encode() for key in keys]
+    first = np.frombuffer(b"".join([md5(start + text).digest()[:4] for text in texts for start in starts]), ">u4")
+    there = np.array([key is not None for key in keys], bool)
+    return (first < math.ceil(frac * UNIT_RANGE)).reshape(len(keys), len(seeds)) & there[:, None]

@@ -11,16 +11,20 @@ from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+import pyarrow as pa
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.functions import hashing as hs
+from lodestat.functions.blocks import as_lists, as_matrix
 from lodestat.operators import linear as li
 from lodestat.operators import metrics as me
 from lodestat.operators import prep
-from lodestat.operators.moments import Moments, column_moments, column_moments_by
+from lodestat.operators.moments import AGGREGATED, Moments, column_moments, column_moments_by
 
 PARALLEL = 4
 
@@ -138,14 +142,17 @@ def repeated_holdout(
     """Random train/test splits, scores of OLS and ridge per repeat: (repeat, model, train_r2,
     test_r2, test_mse).
 
-    All repeats share one pass. A row meets every repeat once, inside its own task, and joins the
-    test moments of those repeats that drew it; the training moments follow by subtraction.
+    All repeats share one pass. A key meets every repeat once, inside its own task, and its rows join
+    the test moments of those repeats that drew it; the training moments follow by subtraction.
     """
     whole = column_moments(df, [y, *xs])
-    drawn = F.array_compact(
-        F.array(*[F.when(hs.hash_below(key, seed + r, test_frac), F.lit(r)) for r in range(repeats)])
-    )
-    per = column_moments_by(df.select(y, *xs, F.explode(drawn).alias("_r")), [y, *xs], "_r")
+    if len(whole.mean) > AGGREGATED:
+        drawn = F.array_compact(
+            F.array(*[F.when(hs.hash_below(key, seed + r, test_frac), F.lit(r)) for r in range(repeats)])
+        )
+        per = column_moments_by(df.select(y, *xs, F.explode(drawn).alias("_r")), [y, *xs], "_r")
+    else:
+        per = _drawn_moments(df, [y, *xs], key, range(seed, seed + repeats), test_frac, whole)
     rows = []
     for r in range(repeats):
         test = per[str(r)]
@@ -157,6 +164,45 @@ def repeated_holdout(
     return df.sparkSession.createDataFrame(rows, "repeat int, model string, train_r2 double, test_r2 double, test_mse double")
 
 
+def _drawn_moments(df: DataFrame, columns: Sequence[str], key: str, seeds: Sequence[int], frac: float, whole: Moments) -> dict[str, Moments]:
+    """Moments of the rows that a hash of ``key`` draws under each seed, by the number of the seed.
+
+    Rows of one key are drawn together, so they are first added up to one row of sums about the mean of all rows; the hashes
+    are made once a key, and a task adds the sums of its keys to those of all seeds by one matrix product a batch.
+    """
+    import numpy as np
+
+    d = len(columns)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    x = [F.col(c).cast("double") - float(m) for c, m in zip(columns, whole.mean)]
+    kept = df.dropna(subset=list(columns)).select(F.col(key).cast("string").alias("_key"), *[v.alias(f"_x{i}") for i, v in enumerate(x)])
+    sums = kept.groupBy("_key").agg(
+        F.count("*").cast("double").alias("_n"), *[F.sum(f"_x{i}").alias(f"_s{i}") for i in range(d)],
+        *[F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"_q{i}_{j}") for i, j in pairs],
+    )
+    packed = sums.select("_key", F.array("_n", *[f"_s{i}" for i in range(d)], *[f"_q{i}_{j}" for i, j in pairs]).alias("sums"))
+
+    def partial(batches):
+        acc = None
+        for batch in batches:
+            if batch.num_rows:
+                drawn = hs.drawn_below(batch.column("_key").to_pylist(), seeds, frac)
+                part = drawn.T.astype(np.float64) @ as_matrix(batch.column("sums"))
+                acc = part if acc is None else acc + part
+        if acc is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(acc), dtype=np.int32)), as_lists(acc)], names=["r", "sums"])
+
+    total = vector_to_array(Summarizer.sum(array_to_vector(F.col("sums"))))
+    out = {}
+    for r, found in packed.mapInArrow(partial, "r int, sums array<double>").groupBy("r").agg(total.alias("sums")).collect():
+        n, s, q = found[0], np.array(found[1 : d + 1]), np.zeros((d, d))
+        if n:
+            for (i, j), value in zip(pairs, found[d + 1 :]):
+                q[i, j] = q[j, i] = value
+            out[str(r)] = Moments(n, whole.mean + s / n, q / n - np.outer(s / n, s / n))
+    return out
+
+
 def learning_curve(
     estimator: Estimator, df: DataFrame, key: Sequence[str], sizes: Sequence[int], fold: str, n: int, evaluator: Evaluator, seed: int = 0
 ) -> DataFrame:
