@@ -14,13 +14,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestat.functions import text as tx
-from lodestat.session import BROADCAST_ROWS, broadcast_if_small
+from lodestat.session import BROADCAST_ROWS, broadcast_if_small, settle
 
 TILE = 2_048  # a co-occurrence task holds one TILE x TILE matrix of counts
+LISTED = 100_000  # words that a task looks tokens up in by itself; a larger dictionary is joined
+COUNTED = 200_000  # words that a task counts at a time, or one text's
 
 
-def tokenize(df: DataFrame, doc: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per clean word occurrence."""
+def tokenize(df: DataFrame, doc: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), packed: bool = False) -> DataFrame:
+    """One row per clean word occurrence as ``word``; ``packed`` one row per text, its words in the array ``words``."""
+    if packed:
+        return df.select(doc, *carry, tx.clean_words(F.col(text)).alias("words"))
     return (
         df.select(doc, *carry, F.explode(tx.letter_runs(F.col(text))).alias("word"))
         .filter(F.col("word") != "")
@@ -55,10 +59,53 @@ def _dictionary_side(words: DataFrame, size: int | None) -> DataFrame:
     return broadcast_if_small(side)
 
 
-def bow(tokens: DataFrame, words: DataFrame, doc: str = "doc_id", size: int | None = None) -> DataFrame:
-    """Bag of words (doc, pos, cnt). Documents without a dictionary word do not appear."""
-    found = tokens.join(_dictionary_side(words, size), "word", "inner")
-    return found.groupBy(doc, "pos").agg(F.count("*").alias("cnt"))
+def bow(tokens: DataFrame, words: DataFrame, doc: str = "doc_id", size: int | None = None, settled: bool = False) -> DataFrame:
+    """Bag of words (doc, pos, cnt). Documents without a dictionary word do not appear.
+
+    Of ``packed`` tokens a task looks the words up in the bounded dictionary and lets one record of counts out for each text,
+    not one row a token. The records of a document meet by ``doc`` and are added up there, which is also where its shares and
+    its vector are made, so they are not shuffled again. ``settled`` writes the counts once, for those that use them twice.
+    """
+    if "words" not in tokens.columns:
+        found = tokens.join(_dictionary_side(words, size), "word", "inner")
+        counts = found.groupBy(doc, "pos").agg(F.count("*").alias("cnt"))
+        return settle(counts) if settled else counts
+    known = words.select("word", "pos").limit(LISTED + 1).toArrow()
+    if known.num_rows > LISTED or known.column("pos").null_count or len(known.column("word").unique()) < known.num_rows:
+        return bow(tokens.select(doc, F.explode("words").alias("word")), words, doc, size, settled)
+    types = tokens.schema[doc].dataType.simpleString(), words.schema["pos"].dataType.simpleString()
+    counted = tokens.select(F.col(doc).alias("_doc"), "words").mapInArrow(_count_words(known), f"_doc {types[0]}, pos array<{types[1]}>, cnt array<int>")
+    if settled:
+        counted = settle(counted)
+    cells = counted.repartition("_doc").select(F.col("_doc").alias(doc), F.inline(F.arrays_zip("pos", "cnt")))
+    return cells.groupBy(doc, "pos").agg(F.sum("cnt").alias("cnt"))
+
+
+def _count_words(known: pa.Table):
+    """Task function: (document, words) to (document, positions, counts), about COUNTED words at a time."""
+    words, positions = known.column("word").combine_chunks(), known.column("pos").combine_chunks()
+
+    def count(batch: pa.RecordBatch, sizes: np.ndarray) -> pa.RecordBatch:
+        at = pc.fill_null(pc.index_in(batch.column(1).flatten(), value_set=words, skip_nulls=True), -1).to_numpy(zero_copy_only=False)
+        cells = (np.repeat(np.arange(len(sizes)), sizes) * len(words) + at)[at >= 0]
+        cells, counts = np.unique(cells, return_counts=True)
+        who, place = np.divmod(cells, max(len(words), 1))
+        there, held = np.unique(who, return_counts=True)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(held)]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, values) for values in (positions.take(pa.array(place)), pa.array(counts.astype(np.int32)))]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(there)), *lists], names=["_doc", "pos", "cnt"])
+
+    def run(batches):
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends, start = np.cumsum(sizes), 0
+            while start < batch.num_rows:
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + COUNTED, side="right")))
+                yield count(batch.slice(start, stop - start), sizes[start:stop])
+                start = stop
+
+    return run
 
 
 def tf(counts: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -28,15 +28,15 @@ def _tokens(spark, folder):
     return co.tokenize(_docs(spark, folder), carry=("lang", "source"))
 
 
-def _bow(spark, folder):
+def _bow(spark, folder, settled=False):
     tokens = co.tokenize(_docs(spark, folder))
     # written once: the dictionary is used by every step behind it
     words = cut_lineage(co.dictionary(tokens, WORDS))
-    return words, co.bow(tokens, words, size=WORDS)
+    return words, co.bow(co.tokenize(_docs(spark, folder), packed=True), words, size=WORDS, settled=settled)
 
 
 def _tfidf(spark, folder):
-    words, counts = _bow(spark, folder)
+    words, counts = _bow(spark, folder, settled=True)  # read for the document frequencies and for the weights
     weights = cut_lineage(co.idf(counts, _docs(spark, folder)))
     return words, weights, co.tfidf(co.tf(counts), weights, WORDS)
 
