@@ -26,6 +26,7 @@ SAMPLE = 2_000
 LANDMARKS = 256
 RIDGE = 1e-2
 BLOCK_ROWS = 128
+UNPACKED = 2_048  # columns of the sample's presence matrix that the driver unpacks at a time
 UNKNOWN = "und"
 
 
@@ -85,24 +86,34 @@ def fit(labelled: DataFrame, doc: str, text: str, label: str, sample: int = SAMP
     names = sorted({r["label"] for r in rows})
     if not names:
         return Model([], np.zeros((BUCKETS, 0), np.float32))
-    x = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
-    norm = np.sqrt(np.maximum(x.sum(1), 1)).astype(np.float32)
-    by_language = [[i for i, r in enumerate(rows) if r["label"] == n] for n in names]
+    # the bits stay packed: the driver only ever holds UNPACKED columns of them as numbers
+    bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1)
+    labels = [r["label"] for r in rows]
+    del rows
+    by_language = [[i for i, own in enumerate(labels) if own == n] for n in names]
     turn = [own[k] for k in range(max(map(len, by_language))) for own in by_language if k < len(own)]
     marks = np.array(sorted(turn[:landmarks]))
-    shared = np.zeros((len(rows), len(marks)), np.float64)
-    for at in range(0, BUCKETS, 8192):
-        part = x[:, at : at + 8192].astype(np.float32)
+    shared, held = np.zeros((len(labels), len(marks)), np.float64), np.zeros(len(labels), np.int64)
+    for at in range(0, BUCKETS, UNPACKED):
+        part = _unpacked(bits, at)
+        held += part.sum(1, dtype=np.int64)
         shared += part @ part[marks].T
+    norm = np.sqrt(np.maximum(held, 1)).astype(np.float32)
     kernel = shared / norm[:, None] / norm[marks][None, :]
     values, vectors = np.linalg.eigh(kernel[marks])
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
     features = kernel @ root
-    truth = np.where(np.array([names.index(r["label"]) for r in rows])[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
+    truth = np.where(np.array([names.index(own) for own in labels])[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
     solved = np.linalg.solve(features.T @ features + ridge * np.eye(features.shape[1]), features.T @ truth)
-    per_mark = (root @ solved) / norm[marks][:, None]
-    return Model(names, (x[marks].astype(np.float32).T @ per_mark.astype(np.float32)).astype(np.float32))
+    per_mark = ((root @ solved) / norm[marks][:, None]).astype(np.float32)
+    weights = np.concatenate([_unpacked(bits[marks], at).T @ per_mark for at in range(0, BUCKETS, UNPACKED)])
+    return Model(names, weights.astype(np.float32))
+
+
+def _unpacked(bits: np.ndarray, at: int) -> np.ndarray:
+    """Columns ``at`` to ``at + UNPACKED`` of packed presence rows as 0.0 and 1.0."""
+    return np.unpackbits(bits[:, at // 8 : (at + UNPACKED) // 8], axis=1).astype(np.float32)
 
 
 def _score(model: Model, keep: list[str]):
