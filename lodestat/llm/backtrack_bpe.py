@@ -73,11 +73,14 @@ class Vocabulary:
         self.automaton = ahocorasick.Automaton()
         for token, units in self.units.items():
             if units:
-                self.automaton.add_word(units, token)
+                self.automaton.add_word(units, (token, len(units) - 1))
         self.automaton.make_automaton()
         by_units = {u: t for t, u in self.units.items() if u}
         self.shorter = {t: next((by_units[u[:k]] for k in range(len(u) - 1, 0, -1) if u[:k] in by_units), -1) for t, u in self.units.items()}
         self.length = {t: len(u) for t, u in self.units.items()}
+        # plain lists: the loops below read single entries, which a NumPy array gives several times slower
+        self._rank, self._left, self._right = self.rank.tolist(), self.left.tolist(), self.right.tolist()
+        self._length, self._shorter = ([of.get(t, -1) for t in range(size)] for of in (self.length, self.shorter))
         self.compatible: dict[tuple[int, int], bool] = {}
         # offset table of the decoder: token texts one after another, each at offsets[id] .. offsets[id + 1]
         added = {a["id"]: a["content"] for a in spec.get("added_tokens", [])}
@@ -106,7 +109,7 @@ class Vocabulary:
         known = self.compatible.get(key)
         if known is not None:
             return known
-        rank, left, right, pair = self.rank, self.left, self.right, self.pair
+        rank, left, right, pair = self._rank, self._left, self._right, self.pair
         x, y, limit, verdict = a, b, None, True
         while True:
             joined = pair.get((x, y))
@@ -114,20 +117,20 @@ class Vocabulary:
                 verdict = False  # BPE would merge across the boundary before it made one of the two
                 break
             if rank[x] > rank[y]:  # undo the later merge first
-                limit, nx = rank[x], int(right[x])
+                limit, nx = rank[x], right[x]
                 if nx != x:
                     x = nx
                     continue
-                limit, ny = rank[y] + 1, int(left[y])
+                limit, ny = rank[y] + 1, left[y]
                 if ny == y:
                     break
                 y = ny
             else:
-                limit, ny = rank[y] + 1, int(left[y])
+                limit, ny = rank[y] + 1, left[y]
                 if ny != y:
                     y = ny
                     continue
-                limit, nx = rank[x], int(right[x])
+                limit, nx = rank[x], right[x]
                 if nx == x:
                     break
                 x = nx
@@ -141,30 +144,31 @@ class Vocabulary:
         text = self.word_units(word)
         n = len(text)
         longest = [-1] * n
-        for end, token in self.automaton.iter(text):
-            start = end - self.length[token] + 1
-            if longest[start] < 0 or self.length[token] > self.length[longest[start]]:
-                longest[start] = token
+        for end, (token, back) in self.automaton.iter(text):
+            longest[end - back] = token  # ends ascend, so a later match from the same start is longer
+        length, shorter, compatible = self._length, self._shorter, self.compatible
         open_ = bytearray(b"\x01") * (n + 1)  # places not yet shown to be no token boundary
         tokens: list[int] = []
-        pos, nxt = 0, (longest[0] if n else -1)
+        pos, nxt, last = 0, (longest[0] if n else -1), -1
         while nxt >= 0:
-            token, last = nxt, (tokens[-1] if tokens else -1)
-            while True:
-                end = pos + self.length[token]
-                if open_[end] and (last < 0 or self.is_compatible(last, token)):
-                    tokens.append(token)
-                    pos, nxt = end, (longest[end] if end < n else -1)
-                    break
-                shorter = self.shorter[token]
-                if shorter >= 0:
-                    token = shorter
-                    continue
+            token = nxt
+            while token >= 0:
+                end = pos + length[token]
+                if open_[end]:
+                    fits = last < 0 or compatible.get((last, token))
+                    if fits is None:
+                        fits = self.is_compatible(last, token)
+                    if fits:
+                        break
+                token = shorter[token]
+            if token >= 0:
+                tokens.append(token)
+                pos, nxt, last = end, (longest[end] if end < n else -1), token
+            else:
                 open_[pos] = 0
                 tokens.pop()
-                pos -= self.length[last]
-                nxt = last
-                break
+                pos, nxt = pos - length[last], last
+                last = tokens[-1] if tokens else -1
         return tokens
 
     def decode_many(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
