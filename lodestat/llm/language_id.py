@@ -25,7 +25,8 @@ LONGEST = 4
 SAMPLE = 2_000
 LANDMARKS = 256
 RIDGE = 1e-2
-BLOCK_ROWS = 128
+BLOCK_ROWS = 32
+SLAB = 256 << 10  # bytes of text whose n-grams a task hashes at once; temporary arrays are some tens of times as large
 UNPACKED = 2_048  # columns of the sample's presence matrix that the driver unpacks at a time
 UNKNOWN = "und"
 
@@ -59,7 +60,7 @@ class Model:
 
 def _packed(batches):
     """Task function: (label, presence bits) of sample rows."""
-    for slab in slabs(batches, "text"):
+    for slab in slabs(batches, "text", SLAB):
         for row in range(0, slab.num_rows, BLOCK_ROWS):
             part = slab.slice(row, BLOCK_ROWS)
             bits = np.packbits(presence(part.column("text")), axis=1)
@@ -116,31 +117,38 @@ def _unpacked(bits: np.ndarray, at: int) -> np.ndarray:
     return np.unpackbits(bits[:, at // 8 : (at + UNPACKED) // 8], axis=1).astype(np.float32)
 
 
-def _score(model: Model, keep: list[str]):
-    def run(batches):
-        for slab in slabs(batches, "_text"):
-            for row in range(0, slab.num_rows, BLOCK_ROWS):
-                part = slab.slice(row, BLOCK_ROWS)
-                text = part.column("_text")
-                known = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-                block = presence(text).astype(np.float32)
-                scores = block @ model.weights / np.sqrt(np.maximum(block.sum(1), 1))[:, None] if model.languages else np.zeros((len(text), 1))
-                best = scores.argmax(1)
-                known = known & bool(model.languages)
-                names = np.array([*model.languages, UNKNOWN], object)[np.where(known, best, len(model.languages))]
-                value = np.where(known, np.clip((scores[np.arange(len(best)), best] + 1) / 2, 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(names.tolist(), pa.string()), pa.array(value, pa.float64())], names=[*keep, "lang_pred", "score"])
-
-    return run
+def _scored(model: Model, text: pa.Array) -> pa.StructArray:
+    """(lang_pred, score) of each text; a few texts at a time, so that their presence block stays small."""
+    best, value = np.zeros(len(text), np.int64), np.zeros(len(text))
+    # always as many rows: a text's score doesn't hang on how many texts come with it
+    block, at = np.zeros((BLOCK_ROWS, BUCKETS), np.float32), 0
+    for part in slabs([pa.RecordBatch.from_arrays([text], names=["text"])], "text", SLAB):
+        for row in range(0, part.num_rows if model.languages else 0, BLOCK_ROWS):
+            own = part.column("text").slice(row, BLOCK_ROWS)
+            block[: len(own)] = presence(own)
+            scores = (block @ model.weights / np.sqrt(np.maximum(block.sum(1), 1))[:, None])[: len(own)]
+            to = slice(at + row, at + row + len(own))
+            best[to] = scores.argmax(1)
+            value[to] = np.clip((scores.max(1) + 1) / 2, 0, 1)
+        at += part.num_rows
+    known = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False) & bool(model.languages)
+    names = pa.array([*model.languages, UNKNOWN], pa.string()).take(pa.array(np.where(known, best, len(model.languages))))
+    return pa.StructArray.from_arrays([names, pa.array(np.where(known, value, 0.0))], names=["lang_pred", "score"])
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all) with lang_pred and score. A text that is null or without a letter is ``und``, score 0;
-    so is every text when nothing was there to learn from. Equal scores go to the first language by name."""
+    so is every text when nothing was there to learn from. Equal scores go to the first language by name.
+
+    Python gets the text only and gives back the two results; the other columns stay where they are."""
+
+    def verdict(column: pa.Array) -> pa.Array:
+        return _scored(model, column)
+
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    rows = docs.select(*keep, F.col(text).alias("_text"))
-    return rows.mapInArrow(_score(model, keep), f"{kinds}, lang_pred string, score double")
+    # not moved into a filter on its result, where it would run a second time
+    found = F.arrow_udf(verdict, "lang_pred string, score double").asNondeterministic()
+    return docs.select(*keep, found(F.col(text)).alias("lang_pred")).select(*keep, "lang_pred.lang_pred", "lang_pred.score")
 
 
 def held_out(doc: str = "doc_id") -> Column:
