@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLAB_BYTES = 2 << 20  # text handled at once; temporary arrays are some tens of times as large
+WORD_SLAB_BYTES = 512 << 10  # the same where ``Words`` are made, with several 8-byte numbers for each byte
 
 SPACE_BYTES = (0x20, *range(0x09, 0x0E))
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.llm.batches import Words, lists, lowered, mix, odd_constants, slabs, space_words, text_bytes
+from lodestat.llm.batches import WORD_SLAB_BYTES, Words, lists, lowered, mix, odd_constants, slabs, space_words, text_bytes
 from lodestat.llm.components import components
 from lodestat.llm.shared import written
 from lodestat.session import broadcast_if_small
@@ -55,7 +55,7 @@ def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _signatures(batches):
     """Task function: size and digest of the set, and its minhashes."""
     factors = odd_constants(COLLECTIONS * HASHES, 17)
-    for slab in slabs(batches, "text"):
+    for slab in slabs(batches, "text", WORD_SLAB_BYTES):
         hashes, offsets = shingles(slab.column("text"))
         size = np.diff(offsets)
         some = np.flatnonzero(size)
@@ -78,7 +78,7 @@ def _signatures(batches):
 
 
 def _sets(batches):
-    for slab in slabs(batches, "text"):
+    for slab in slabs(batches, "text", WORD_SLAB_BYTES):
         hashes, offsets = shingles(slab.column("text"))
         yield pa.RecordBatch.from_arrays([slab.column("rep"), slab.column("pivot"), lists(hashes.view(np.int64), offsets, pa.int64())], names=["rep", "pivot", "set"])
 
@@ -134,7 +134,7 @@ def groups(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
     kind = docs.schema[doc].dataType.simpleString()
     rows = docs.select(F.col(doc).alias("id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text"))
     signed = written(
-        rows.mapInArrow(_signatures, f"id {kind}, key bigint, n bigint, sum bigint, xor bigint, least array<bigint>"), "signatures"
+        rows.mapInArrow(_signatures, f"id {kind}, key bigint, n bigint, sum bigint, xor bigint, least array<bigint>"), "signatures", texts=True
     )
     same = ["n", "sum", "xor"]
     filled = signed.filter((F.col("n") > 0) & F.col("id").isNotNull())
@@ -167,7 +167,7 @@ def groups(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
     wanted = written(wanted.join(first_text, "rep"), "wanted")
     sets = written(
         whole.join(broadcast_if_small(wanted), ["rep", "key"]).select("rep", "pivot", "text").mapInArrow(_sets, f"rep {kind}, pivot {kind}, set array<bigint>").dropDuplicates(["rep"]),
-        "sets",
+        "sets", texts=True,
     )
     own = sets.select("rep", "set")
 

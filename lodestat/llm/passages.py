@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.llm.batches import Words, lists, lowered, mix, odd_constants, slabs, space_words, text_bytes
+from lodestat.llm.batches import WORD_SLAB_BYTES, Words, lists, lowered, mix, odd_constants, slabs, space_words, text_bytes
 from lodestat.llm.shared import written
 from lodestat.session import broadcast_if_small
 
@@ -38,7 +38,7 @@ def _words(column: pa.Array) -> Words:
 
 def _seeds(batches):
     """Task function: (id, seeds<pos, hash, long0, long1>) of each whole text; long<i> is of SPANS[i] words, null beyond the end."""
-    for slab in slabs(batches, "text"):
+    for slab in slabs(batches, "text", WORD_SLAB_BYTES):
         words = _words(slab.column("text"))
         first, hashes = words.grams(K)
         chosen = np.zeros(len(first), bool)
@@ -163,7 +163,7 @@ def _chains(min_words: int):
 
 def _cut_words(batches):
     """Task function: hashes of the words low <= place < high of a text, and how many words it has."""
-    for slab in slabs(batches, "text"):
+    for slab in slabs(batches, "text", WORD_SLAB_BYTES):
         words = _words(slab.column("text"))
         low, high = (slab.column(c).to_numpy().astype(np.int64) for c in ("low", "high"))
         begin = words.first[:-1] + np.minimum(low, words.count)
@@ -344,7 +344,7 @@ def passages(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words
         rows.mapInArrow(_seeds, "id bigint, seeds array<struct<pos:int,hash:bigint,long0:int,long1:int>>")
         .select("id", F.explode("seeds").alias("s")).select("id", "s.*")
     )
-    seeds = written(seeds, "seeds")
+    seeds = written(seeds, "seeds", texts=True)
     firsts = (
         seeds.groupBy("hash").agg(F.min(F.struct("id", "pos")).alias("f"), F.max("id").alias("last"))
         .filter(F.col("f.id") < F.col("last")).select("hash", F.col("f.id").alias("first"), F.col("f.pos").alias("first_pos"))
@@ -375,7 +375,7 @@ def passages(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words
     asked = chains.select("id", "low", "high").unionByName(chains.select(F.col("first").alias("id"), F.col("flow").alias("low"), F.col("fhigh").alias("high"))).distinct()
     asked = written(asked, "asked")
     parts = rows.join(broadcast_if_small(asked), "id").mapInArrow(_cut_words, "id bigint, low int, high int, words array<bigint>")
-    parts = written(parts.dropDuplicates(["id", "low", "high"]), "parts")
+    parts = written(parts.dropDuplicates(["id", "low", "high"]), "parts", texts=True)
     firsts_of = parts.select(F.col("id").alias("first"), F.col("low").alias("flow"), F.col("high").alias("fhigh"), F.col("words").alias("fwords"))
     both = chains.join(parts, ["id", "low", "high"]).join(firsts_of, ["first", "flow", "fhigh"])
     found = both.select("id", "first", "xs", "ys", "low", "flow", "words", "fwords").mapInArrow(
@@ -386,7 +386,7 @@ def passages(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words
 
 def _without(columns: list[str], text: str):
     def run(batches):
-        for slab in slabs(batches, text):
+        for slab in slabs(batches, text, WORD_SLAB_BYTES):
             at = slab.schema.get_field_index(text)
             data, offsets = text_bytes(slab.column(at))
             words = Words(lowered(data), offsets, space_words())
