@@ -44,7 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): token ids, and the text that they decode to."""
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode(docs, ranks, pattern)
+    # written, so that a task has one Python worker, not one to encode and one to decode; both would stay for later tasks
+    encoded = written(byte_bpe.encode(docs, ranks, pattern), "ids")
     return byte_bpe.decode(encoded, ranks, pattern).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("decoded")
     )
