@@ -10,6 +10,7 @@ overlap has no such place are joined to one piece. A text of at most one chunk i
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -35,6 +36,8 @@ def _encoding(ranks: str, pattern: str):
 
 
 def _texts_to_ids(ranks: str, pattern: str):
+    """Task function: the column ``text`` gives way to ``ids``, a slab of texts at a time."""
+
     def run(batches):
         encoding = _encoding(ranks, pattern)
         for slab in slabs(batches, "text"):
@@ -125,27 +128,35 @@ def pieces(docs: DataFrame, pattern: str, chunk: int = CHUNK, overlap: int = OVE
 
 
 def encode(
-    docs: DataFrame, ranks: str, pattern: str, doc: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP
+    docs: DataFrame, ranks: str, pattern: str, doc: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP,
+    then: tuple[Callable, str] | None = None,
 ) -> DataFrame:
     """(id, ids array<int>): token ids of each whole text, without special tokens.
 
     ``ranks`` is the path of a rank file that every worker can read. Null text is the empty text, which has no ids. One
     row per input row: repeated rows stay repeated (a long text that is repeated is encoded once). Special strings in a
     text are ordinary text.
+
+    ``then``: a task function on batches of (id, ids), and the columns that it returns beside the id. It runs in the
+    worker that encodes, so that a task has one Python worker and the ids of a short text don't leave it.
     """
+    own = _texts_to_ids(ranks, pattern)
+    step, columns = then or (None, "ids array<int>")
     rows = docs.select(F.col(doc).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = docs.schema[doc].dataType.simpleString()
-    short = rows.filter(F.length("text") <= chunk).mapInArrow(_texts_to_ids(ranks, pattern), f"id {kind}, ids array<int>")
+    short = rows.filter(F.length("text") <= chunk).mapInArrow((lambda batches: step(own(batches))) if step else own, f"id {kind}, {columns}")
     long = rows.filter(F.length("text") > chunk).withColumn("key", F.xxhash64("text"))
     once = long.groupBy("id", "key").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
     ids = (
         pieces(once, pattern, chunk, overlap)
-        .mapInArrow(_texts_to_ids(ranks, pattern), f"id {kind}, key bigint, copies bigint, piece bigint, ids array<int>")
+        .mapInArrow(own, f"id {kind}, key bigint, copies bigint, piece bigint, ids array<int>")
         .groupBy("id", "key", "copies")
         .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("piece", "ids"))), lambda x: x["ids"])).alias("ids"))
         .select("id", "ids", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .select("id", "ids")
     )
+    if step:
+        ids = ids.mapInArrow(step, f"id {kind}, {columns}")
     return short.unionByName(ids).withColumnRenamed("id", doc)
 
 

@@ -61,7 +61,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every token sequence with its slot and its place in the shards; the record itself as a digest."""
-    encoded = byte_bpe.encode(documents(spark, sf_dir), public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    ranks, pattern = public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(documents(spark, sf_dir), ranks, pattern, then=training_order.cutting())
     ordered = training_order.materialise(encoded, key=20_240_501)
     return ordered.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
 

@@ -21,6 +21,7 @@ LENGTH = 256  # tokens of a sequence
 SHARD_ROWS = 8_192
 ROUNDS = 4
 PAD = 0xFFFF
+SEQUENCE = "seq bigint, n_tokens bigint, record binary"
 
 
 def slots(numbers: np.ndarray, total: int, key: int) -> np.ndarray:
@@ -68,20 +69,29 @@ def _cut(length: int):
     return run
 
 
+def cutting(length: int = LENGTH):
+    """``then`` of ``byte_bpe.encode``: the worker that encodes a text also cuts its ids to records of ``length`` tokens."""
+    return _cut(length), SEQUENCE
+
+
 def materialise(encoded: DataFrame, key: int, doc: str = "doc_id", length: int = LENGTH, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(id, ids) to (id, seq, n_tokens, slot, shard, offset, record), each shard whole in one partition, in slot order.
 
-    ``record`` has 2 * length bytes. A document without tokens (null or empty ids) has no sequence; a repeated row gives
-    its sequences again. Slots are 0 .. N - 1, each used once. Numbers follow the written table of sequences, so a lost
-    executor changes nothing; another key gives another order.
+    ``encoded`` may have been cut to the same ``length`` already: (id, seq, n_tokens, record), see ``cutting``. ``record``
+    has 2 * length bytes. A document without tokens (null or empty ids) has no sequence; a repeated row gives its sequences
+    again. Slots are 0 .. N - 1, each used once. Numbers follow the written table of sequences, so a lost executor changes
+    nothing; another key gives another order.
     """
     spark = encoded.sparkSession
     kind = encoded.schema[doc].dataType.simpleString()
-    rows = encoded.filter(F.size("ids") > 0).select(F.col(doc).alias("id"), "ids")
-    sequences = rows.mapInArrow(_cut(length), f"id {kind}, seq bigint, n_tokens bigint, record binary")
+    if "ids" in encoded.columns:
+        rows = encoded.filter(F.size("ids") > 0).select(F.col(doc).alias("id"), "ids")
+        sequences = rows.mapInArrow(_cut(length), f"id {kind}, {SEQUENCE}")
+    else:
+        sequences = encoded.select(F.col(doc).alias("id"), "seq", "n_tokens", "record")
     placed = written(
         sequences.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
-        "sequences",
+        "sequences", texts=True,
     )
     # one row per task of the scan
     sizes = placed.groupBy("part").agg(F.count("*").alias("size"))
