@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from lodestat.functions.blocks import as_matrix, smallest_k, squared_distances
 from lodestat.operators.windows import top_k_per
-from lodestat.session import BROADCAST_ROWS, cut_lineage
+from lodestat.session import BROADCAST_ROWS, cut_lineage, fits  # noqa: F401  (a test of the salted join sets ``fits`` here)
 
 # Similarities are rounded before ranking: the order in which a sum is taken leaves noise in the
 # last digits, and without this equal documents would be ranked by that noise.
